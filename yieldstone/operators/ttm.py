@@ -9,8 +9,8 @@ Three equivalent forms are given.
 * ``ttm_rolling_window`` uses a RANGE frame.
 
 All of them first merge the events of one ticker and day, before the shuffle, and then split each
-ticker into time slices at least as long as the look-back. An event is copied to the following slice,
-which is the only other one it can reach. A (ticker, slice) therefore holds a bounded number of event
+ticker into time slices longer than the look-back. An event that expires in the following slice, the
+only other one it can reach, is copied to it. A (ticker, slice) therefore holds a bounded number of event
 days, and a ticker with a large share of all rows is spread over many tasks.
 """
 
@@ -47,10 +47,11 @@ def event_days(events: DataFrame) -> DataFrame:
     )
 
 
-def _reaching(days: DataFrame, slice_days: int) -> DataFrame:
-    """Event days, once for their own slice and once for the next."""
-    own = _slice(F.col("ex_date"), slice_days)
-    return days.withColumn("slice", F.explode(F.array(own, own + 1)))
+def _reaching(days: DataFrame, lookback_days: int, slice_days: int) -> DataFrame:
+    """Event days, once for their own slice and once more if they expire in the next one."""
+    expiry = F.date_add("ex_date", lookback_days + 1)
+    slices = F.array_distinct(F.array(_slice(F.col("ex_date"), slice_days), _slice(expiry, slice_days)))
+    return days.withColumn("slice", F.explode(slices))
 
 
 def _priced(price: DataFrame, slice_days: int) -> DataFrame:
@@ -105,7 +106,7 @@ def dividend_metrics_daily(price: DataFrame, events: DataFrame, lookback_days: i
             none.cast("double").alias("last_price"),
         )
 
-    entering = moves(_reaching(days, width), F.col("ex_date"), 1, F.col("ex_date"))
+    entering = moves(_reaching(days, lookback_days, width), F.col("ex_date"), 1, F.col("ex_date"))
     expiry = F.date_add("ex_date", lookback_days + 1)
     leaving = moves(days.withColumn("slice", _slice(expiry, width)), expiry, -1, none.cast("date"))
 
@@ -134,7 +135,7 @@ def ttm_range_join(price: DataFrame, events: DataFrame, lookback_days: int = LOO
     """
     width = _slice_days(lookback_days)
     p = _priced(price, width).alias("p")
-    e = _reaching(event_days(events), width).alias("e")
+    e = _reaching(event_days(events), lookback_days, width).alias("e")
     near = F.col("e.ex_date").between(F.date_sub("p.date", lookback_days), F.col("p.date"))
     same = (F.col("p.ticker") == F.col("e.ticker")) & (F.col("p.slice") == F.col("e.slice"))
     return p.join(e, same & near, "left").select(
@@ -146,7 +147,7 @@ def ttm_rolling_window(price: DataFrame, events: DataFrame, lookback_days: int =
     """The metrics by a RANGE frame of ``lookback_days`` over the union of prices and event days."""
     width = _slice_days(lookback_days)
     prices = _priced(price, width).select("*", F.col("date").alias("at"), F.lit(True).alias("priced"))
-    days = _reaching(event_days(events), width).withColumn("at", F.col("ex_date"))
+    days = _reaching(event_days(events), lookback_days, width).withColumn("at", F.col("ex_date"))
     frame = Window.partitionBy("ticker", "slice").orderBy(F.unix_date("at")).rangeBetween(-lookback_days, 0)
     rolled = prices.unionByName(days, allowMissingColumns=True).select(
         "date",

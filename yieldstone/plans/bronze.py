@@ -6,7 +6,7 @@ collector would do one after another is done here for all dates at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.calendar import latest_dividend_date
@@ -20,9 +20,16 @@ from ..sources.tables import append_dividends, write_price_if_absent, write_pric
 FIRST_RUN_DAYS = 400
 
 
-def _date_array(dates: DataFrame) -> Column:
-    """The dates to collect as one sorted array, which the calendar bounds, by a scalar subquery."""
-    return dates.agg(F.sort_array(F.collect_set("date"))).scalar()
+def _collection_dates(dates: DataFrame) -> DataFrame:
+    """``(ex_date, date)``: for every day up to the last date, the first of the dates on or after it.
+
+    Days before the first date belong to it, as far back as a first run reaches. One row per calendar
+    day, so a few thousand rows whatever the tables hold.
+    """
+    gap = Window.orderBy("date")
+    spans = dates.select("date").distinct().withColumn("_after", F.lag("date").over(gap))
+    first = F.coalesce(F.date_add("_after", 1), F.date_sub("date", FIRST_RUN_DAYS))
+    return spans.select(F.explode(F.sequence(first, F.col("date"))).alias("ex_date"), "date")
 
 
 def _of_tickers(df: DataFrame, tickers: DataFrame | None) -> DataFrame:
@@ -62,13 +69,12 @@ def dividend_job(
     An event gets the first of the dates on or after its ex-date as collection date. The mark is the
     newest stored ex-date of all tickers; an empty store starts 400 days before the first date.
     """
-    wanted = _date_array(dates)
     mark = latest_dividend_date(lake.read_dividends(spark)).scalar()
-    since = F.coalesce(F.date_add(mark, 1), F.date_sub(F.array_min(wanted), FIRST_RUN_DAYS))
-    events = dated_dividends(_of_tickers(landed, tickers), zone)
-    collected = F.array_min(F.filter(wanted, lambda d: d >= F.col("ex_date")))
-    fresh = events.filter((F.col("ex_date") >= since) & (F.col("ex_date") <= F.array_max(wanted)))
-    append_dividends(spark, project(fresh.withColumn("date", collected), DIVIDEND), lake.dividends, dedupe=False)
+    first = dates.agg(F.min("date")).scalar()
+    since = F.coalesce(F.date_add(mark, 1), F.date_sub(first, FIRST_RUN_DAYS))
+    events = dated_dividends(_of_tickers(landed, tickers), zone).filter(F.col("ex_date") >= since).drop("date")
+    fresh = events.join(F.broadcast(_collection_dates(dates)), "ex_date")
+    append_dividends(spark, project(fresh, DIVIDEND), lake.dividends, dedupe=False)
 
 
 def full_job(

@@ -105,3 +105,76 @@ def constituents(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("Sector "), F.col("s_nationkey").cast("string")).alias("GICS Sector"),
         F.when(key % 10 == 9, "not known").otherwise(F.date_format(added, "yyyy-MM-dd")).alias("Date added"),
     )
+
+
+def vendor_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """A landed vendor price frame, one row per trade; small trades lack a close, some the adjusted one."""
+    paid = F.col("l_extendedprice")
+    return trades(spark, folder).select(
+        "ticker",
+        "date",
+        paid.alias("Open"),
+        (paid + F.col("l_quantity")).alias("High"),
+        (paid - F.col("l_quantity")).alias("Low"),
+        F.when(F.col("l_quantity") < 5, F.lit(float("nan"))).otherwise(paid).alias("Close"),
+        F.col("l_quantity").cast("bigint").alias("Volume"),
+        F.when(F.col("l_linenumber") > 2, paid * 0.5).alias("Adj Close"),
+    )
+
+
+def vendor_dividends(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed dividends at some hour of the exchange's day."""
+    amount = _money("l_extendedprice") * F.col("l_tax").cast("decimal(4,2)") * F.lit("0.25").cast("decimal(4,2)")
+    hour = F.make_dt_interval(hours=(F.col("l_partkey") % 24).cast("int"))
+    return (
+        trades(spark, folder)
+        .filter((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "A"))
+        .select(
+            "ticker",
+            (F.col("l_shipdate").cast("timestamp_ntz") + hour).alias("ex_ts"),
+            amount.cast("double").alias("amount"),
+        )
+    )
+
+
+def profile_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed profile records as JSON, with fields that are absent for some."""
+    key = F.col("c_custkey")
+    record = F.to_json(
+        F.struct(
+            F.when(key % 7 != 0, F.col("c_name")).alias("longName"),
+            F.col("c_mktsegment").alias("sector"),
+            F.when(key % 5 != 0, (key % 4) / 100).alias("dividendYield"),
+            F.when(key % 5 == 1, (key % 40) / 8).alias("dividendRate"),
+            F.when(key % 3 == 0, F.lit(1_700_000_000) + key).alias("exDividendDate"),
+            F.when(key % 6 == 0, F.lit(1_700_000_000) + key).alias("dividendDate"),
+            F.when(key % 4 == 0, F.lit(4)).alias("dividendFrequency"),
+            F.when(key % 9 != 0, key * 1_000_000).alias("marketCap"),
+            F.when(key % 8 != 0, F.col("c_acctbal")).alias("currentPrice"),
+        )
+    )
+    return table(spark, folder, "customer").select(F.col("c_name").alias("ticker"), record.alias("record"))
+
+
+def wide_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """A landed change table: one date column as text, some of it bad, and cells of free text."""
+    code = F.concat(F.lit("T"), (F.col("l_suppkey") % 90).cast("string"))
+    return trades(spark, folder).select(
+        F.when(F.col("l_quantity") < 3, "to be set").otherwise(F.date_format("date", "yyyy-MM-dd")).alias("Effective date"),
+        F.when(F.col("l_linenumber") < 4, F.concat(F.lit("Added: "), code, F.lit(" Inc (ACME)"))).alias("Entered"),
+        F.when(F.col("l_linenumber") > 2, F.concat(F.lit("removed "), code, F.lit(" and X"))).alias("Left"),
+        F.concat(F.lit("Replaced by the "), F.col("l_returnflag"), F.col("l_linestatus"), F.lit(" group")).alias("Reason"),
+    )
+
+
+def flawed_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices with planted errors and missing values."""
+    v = F.col("volume")
+    return price(spark, folder).withColumns(
+        {
+            "open": F.when(v % 13 == 0, -F.col("open")).when(v % 29 == 0, F.lit(None)).otherwise(F.col("open")),
+            "high": F.when(v % 7 == 0, F.col("low") - 1).otherwise(F.col("high")),
+            "close": F.when(v % 11 == 0, F.lit(0.0)).otherwise(F.col("close")),
+            "volume": F.when(v % 17 == 0, -v).otherwise(v),
+        }
+    )

@@ -1,8 +1,8 @@
 """Stored tables: partitioned Parquet, ZSTD level 5, and the write semantics of each layer.
 
-Every write is one Spark job over a whole set of dates. Rows are rebalanced on the partition
-column, so that a day makes few files while AQE still splits a day that is far larger than the
-others, and sorted by ticker inside a file, so that row-group statistics skip on ticker.
+Every write is one Spark job over a whole set of dates. Rows are distributed by the partition column,
+so that a day makes few files and many days are written side by side; a day with many rows is spread
+over several tasks. Inside a file rows are sorted by ticker, so that row-group statistics skip on it.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, project
 CHANGE_KEY = ["effective_date", "action", "ticker"]
 EVENT_KEY = ["ex_date", "ticker"]
 
+# About 150 MB of prices. A partition value with more rows is written by several tasks.
+ROWS_PER_FILE = 5_000_000
+
 
 def scan_table(spark: SparkSession, path: str, schema: StructType, missing: str = "error") -> DataFrame:
     """Read a stored table; ``missing='empty'`` turns an absent path (and nothing else) into no rows.
@@ -76,8 +79,21 @@ def without_stored(incoming: DataFrame, stored: DataFrame, key: list[str]) -> Da
     return left.join(right, on, "left_anti")
 
 
-def _laid_out(df: DataFrame, partition: str, sort: list[str]) -> DataFrame:
-    return df.hint("rebalance", partition).sortWithinPartitions(partition, *sort)
+def _laid_out(df: DataFrame, partition: str, sort: list[str], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """One task per partition value, several for a value with many rows, sorted inside.
+
+    The rows are counted per partition value first, which reads that column only. There is one count
+    per day or year, so the counts are small enough to broadcast whatever the table holds.
+    """
+    spread = F.xxhash64(*[c for c in df.columns if c != partition])
+    counts = df.groupBy(F.col(partition).alias("_p")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    return (
+        df.join(F.broadcast(counts), F.col(partition).eqNullSafe(F.col("_p")))
+        .withColumn("_part", F.when(F.col("_files") > 1, F.pmod(spread, "_files")).otherwise(0))
+        .repartition(partition, "_part")
+        .drop("_p", "_files", "_part")
+        .sortWithinPartitions(partition, *sort)
+    )
 
 
 def _write(
