@@ -109,6 +109,16 @@ def first_member_date(event_days: DataFrame, members: DataFrame, within_days: in
     return found.filter(F.col("date") <= F.date_add("ex_date", within_days)).select("ticker", "ex_date", "date")
 
 
+def point_in_time_dividends(landed: DataFrame, members: DataFrame) -> DataFrame:
+    """Events of tickers that were members within the 400 days after the ex-date, each stored once.
+
+    The collection date is the first date on which a daily run over ``members`` would find the event.
+    """
+    events = dated_dividends(landed, zone=None)
+    found = first_member_date(events.select("ticker", "ex_date").distinct(), members, FIRST_RUN_DAYS)
+    return project(events.drop("date").join(found, ["ticker", "ex_date"]), DIVIDEND)
+
+
 def point_in_time_job(
     spark: SparkSession,
     landed_price: DataFrame,
@@ -128,11 +138,7 @@ def point_in_time_job(
     price = pit_price_landing(landed_price).join(members, ["date", "ticker"], "left_semi")
     _store_prices(spark, price, lake, overwrite)
 
-    events = dated_dividends(landed_dividends, zone=None)
-    days = events.select("ticker", "ex_date").distinct()
-    found = first_member_date(days, members, FIRST_RUN_DAYS)
-    collected = project(events.drop("date").join(found, ["ticker", "ex_date"]), DIVIDEND)
-    append_dividends(spark, collected, lake.dividends)
+    append_dividends(spark, point_in_time_dividends(landed_dividends, members), lake.dividends)
 
     wanted = dates.select("date")
     stored_price = lake.read_price(spark).join(wanted, "date", "left_semi")

@@ -161,8 +161,7 @@ def append_dividends(s, d):
 def upsert_silver_date(s, d):
     path, metrics = scratch_path(s, "silver"), _metrics(s, d)
     tab.upsert_silver(metrics, path)
-    again = tab.rows_for_date(tab.scan_table(s, path, METRICS), DAY).withColumn("market_cap", F.lit(1))
-    tab.upsert_silver(again, path)
+    tab.upsert_silver(tab.rows_for_date(metrics, DAY).withColumn("market_cap", F.lit(1)), path)
     return _shown(tab.scan_table(s, path, METRICS))
 
 
@@ -585,9 +584,10 @@ def incremental_dividends(s, d):
 
 
 def _bronze_lake(s, d, label):
+    """Stored bronze to read from. Unpartitioned: thousands of small folders are slow on a local disk."""
     lake = _lake(s, label)
-    tab.write_price_overwrite(_bars(s, d), lake.price)
-    tab.append_dividends(s, fx.dividends(s, d), lake.dividends, dedupe=False)
+    tab.write_parquet_zstd(_bars(s, d), lake.price)
+    tab.write_parquet_zstd(fx.dividends(s, d), lake.dividends)
     return lake
 
 
@@ -639,24 +639,19 @@ def pit_job(s, d):
     return bronze.point_in_time_job(s, fx.vendor_prices(s, d), fx.vendor_dividends(s, d), lake, dates, fx.base_list(s, d))
 
 
-def _pit_lake(s, d):
-    lake = _lake(s, "lake")
-    membership_setup(s, lake, fx.base_list(s, d), FIRST, DAY, fx.changes(s, d))
-    dates = cal.trading_calendar(s, FIRST, LAST)
-    status = bronze.point_in_time_job(
-        s, fx.vendor_prices(s, d), fx.vendor_dividends(s, d), lake, dates, fx.base_list(s, d), gate=0.2
-    )
-    return lake, status
-
-
 @query
 def pit_backfill_job(s, d):
-    return _pit_lake(s, d)[1]
+    lake, base = _lake(s, "lake"), fx.base_list(s, d)
+    tab.write_parquet_zstd(_members(s, d, FIRST, DAY), lake.membership)
+    dates = cal.trading_calendar(s, FIRST, LAST)
+    return bronze.point_in_time_job(s, fx.vendor_prices(s, d), fx.vendor_dividends(s, d), lake, dates, base, gate=0.2)
 
 
 @query
 def pit_backfill_dividends(s, d):
-    return _shown(_pit_lake(s, d)[0].read_dividends(s))
+    dates = cal.trading_calendar(s, FIRST, LAST)
+    members = mem.members_for_dates(dates, _members(s, d, FIRST, DAY), fx.base_list(s, d))
+    return _shown(bronze.point_in_time_dividends(fx.vendor_dividends(s, d), members))
 
 
 @query

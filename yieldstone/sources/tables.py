@@ -79,43 +79,75 @@ def without_stored(incoming: DataFrame, stored: DataFrame, key: list[str]) -> Da
     return left.join(right, on, "left_anti")
 
 
-def _laid_out(df: DataFrame, partition: str, sort: list[str], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """One task per partition value, several for a value with many rows, sorted inside.
+def _sizes(df: DataFrame, partition: str) -> dict:
+    """Rows per partition value: one entry per day or year, however large the table.
 
-    The rows are counted per partition value first, which reads that column only. There is one count
-    per day or year, so the counts are small enough to broadcast whatever the table holds.
+    This reads the partition column only; writers plan with it on the driver, so that dates become
+    literals, which prune partitions and reach the scan as filters.
     """
-    spread = F.xxhash64(*[c for c in df.columns if c != partition])
-    counts = df.groupBy(F.col(partition).alias("_p")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
-    return (
-        df.join(F.broadcast(counts), F.col(partition).eqNullSafe(F.col("_p")))
-        .withColumn("_part", F.when(F.col("_files") > 1, F.pmod(spread, "_files")).otherwise(0))
-        .repartition(partition, "_part")
-        .drop("_p", "_files", "_part")
-        .sortWithinPartitions(partition, *sort)
-    )
+    return {row[0]: row[1] for row in df.groupBy(partition).agg(F.count(F.lit(1))).collect()}
+
+
+def _laid_out(
+    df: DataFrame, partition: str, sort: list[str], sizes: dict, rows_per_file: int = ROWS_PER_FILE
+) -> DataFrame:
+    """One task per partition value, several for a value with many rows, sorted inside."""
+    files = {value: -(-rows // rows_per_file) for value, rows in sizes.items()}
+    # With a stated number AQE keeps the tasks apart: many small files are best written side by side.
+    tasks = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(sum(files.values()), 1))
+    part, spread = F.lit(0).cast("bigint"), F.xxhash64(*[c for c in df.columns if c != partition])
+    for value, n in files.items():
+        if n > 1:
+            part = F.when(F.col(partition) == F.lit(value), F.pmod(spread, F.lit(n))).otherwise(part)
+    return df.repartition(tasks, F.col(partition), part).sortWithinPartitions(partition, *sort)
 
 
 def _write(
-    df: DataFrame, path: str, mode: str, partition: str | None, sort: list[str], replace: str = "dynamic"
+    df: DataFrame,
+    path: str,
+    mode: str,
+    partition: str | None,
+    sort: list[str],
+    replace: str = "dynamic",
+    sizes: dict | None = None,
 ) -> None:
-    """``replace='dynamic'`` overwrites only the partitions that occur in the rows being written."""
-    out = _laid_out(df, partition, sort) if partition else df
+    """``replace='dynamic'`` overwrites only the partitions that occur in the rows. No rows, no write."""
+    if partition:
+        sizes = _sizes(df, partition) if sizes is None else sizes
+        if not sizes:
+            return
+        df = _laid_out(df, partition, sort, sizes)
     writer = (
-        out.write.mode(mode)
+        df.write.mode(mode)
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", "5")
         .option("partitionOverwriteMode", replace)
     )
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(path)
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+
+
+def _append_new(spark: SparkSession, rows: DataFrame, path: str, schema: StructType, key: list[str]) -> None:
+    """Append rows whose key is not stored, looking only at partitions that can hold the key."""
+    partition = "year" if "year" in schema.names else "date"
+    sizes = _sizes(rows, partition)
+    if not sizes:
+        return
+    stored = scan_table(spark, path, schema, missing="empty")
+    if key == [partition]:
+        present = {r[0] for r in stored.filter(F.col(partition).isin(list(sizes))).select(partition).distinct().collect()}
+        sizes = {value: n for value, n in sizes.items() if value not in present}
+        if present:
+            rows = rows.filter(F.col(partition).isin(list(sizes)))
+        _write(rows, path, "append", partition, ["ticker"], sizes=sizes)
+    else:
+        if partition == "year":  # the year follows from the key
+            stored = stored.filter(F.col(partition).isin(list(sizes)))
+        _write(without_stored(rows, stored, key), path, "append", partition, ["ticker"], sizes=sizes)
 
 
 def write_price_if_absent(spark: SparkSession, incoming: DataFrame, path: str) -> None:
     """Append the dates that are not stored; dates already there are left alone."""
-    stored = scan_table(spark, path, PRICE, missing="empty")
-    _write(without_stored(project(incoming, PRICE), stored, ["date"]), path, "append", "date", ["ticker"])
+    _append_new(spark, project(incoming, PRICE), path, PRICE, ["date"])
 
 
 def write_price_overwrite(incoming: DataFrame, path: str) -> None:
@@ -125,10 +157,11 @@ def write_price_overwrite(incoming: DataFrame, path: str) -> None:
 
 def append_dividends(spark: SparkSession, incoming: DataFrame, path: str, dedupe: bool = True) -> None:
     """Append events; with ``dedupe`` an (ex_date, ticker) that is already stored is not added again."""
-    fresh = project(incoming, DIVIDEND)
+    rows = project(incoming, DIVIDEND)
     if dedupe:
-        fresh = without_stored(fresh, scan_table(spark, path, DIVIDEND, missing="empty"), EVENT_KEY)
-    _write(fresh, path, "append", "date", ["ticker"])
+        _append_new(spark, rows, path, DIVIDEND, EVENT_KEY)
+    else:
+        _write(rows, path, "append", "date", ["ticker"])
 
 
 def upsert_silver(metrics: DataFrame, path: str) -> None:
@@ -138,17 +171,13 @@ def upsert_silver(metrics: DataFrame, path: str) -> None:
 
 def merge_membership_changes(spark: SparkSession, incoming: DataFrame, path: str) -> None:
     """Insert-only merge on (effective_date, action, ticker), partitioned by year."""
-    stored = scan_table(spark, path, CHANGES, missing="empty")
-    _write(without_stored(project(incoming, CHANGES), stored, CHANGE_KEY), path, "append", "year", ["effective_date"])
+    _append_new(spark, project(incoming, CHANGES), path, CHANGES, CHANGE_KEY)
 
 
 def overwrite_membership_daily(membership: DataFrame, path: str, whole_table: bool = True) -> None:
     """Replace the whole snapshot, or only the dates that occur in it; no rows is a no-op."""
-    df = project(membership, MEMBERSHIP)
-    if whole_table and not df.isEmpty():
-        _write(df, path, "overwrite", "date", ["ticker"], replace="static")
-    elif not whole_table:
-        _write(df, path, "overwrite", "date", ["ticker"])
+    replace = "static" if whole_table else "dynamic"
+    _write(project(membership, MEMBERSHIP), path, "overwrite", "date", ["ticker"], replace)
 
 
 def write_parquet_zstd(df: DataFrame, path: str, partition: str | None = None, sort: list[str] | None = None) -> None:
