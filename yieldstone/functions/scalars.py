@@ -48,16 +48,13 @@ def contains_any(text: Column, words: list[str]) -> Column:
 def ticker_tokens(text: Column) -> Column:
     """Sorted distinct ticker-like tokens of a text, as an array.
 
-    The text is cut at everything that is not a letter, digit or underscore in the Unicode sense,
-    and each whole token is tested; this does not rely on what ``\\b`` means to a regex engine.
+    A token is bounded by anything that is not a letter, digit or underscore in the Unicode sense. The
+    bounds are spelled out, which does not rely on what ``\\b`` means to a regex engine.
     """
-    tokens = F.split(F.upper(text), r"[^\p{L}\p{N}_]+")
-    shaped = F.filter(
-        tokens,
-        lambda t: F.length(t).between(2, 5) & t.rlike(r"^(?:[A-Z]{1,5}|[A-Z]{1,3}[0-9]{1,2})$"),
-    )
-    stop = F.array(*[F.lit(word) for word in NOT_TICKERS])
-    return F.array_sort(F.array_except(shaped, stop))
+    word = r"[\p{L}\p{N}_]"
+    token = rf"(?<!{word})(?:[A-Z]{{2,5}}|[A-Z]{{1,3}}[0-9]{{1,2}})(?!{word})"
+    stop = F.array(*[F.lit(w) for w in NOT_TICKERS])
+    return F.array_sort(F.array_except(F.regexp_extract_all(F.upper(text), F.lit(token), F.lit(0)), stop))
 
 
 def parse_date_or_null(text: Column, *formats: str) -> Column:

@@ -94,21 +94,31 @@ def dividend_metrics_daily(price: DataFrame, events: DataFrame, lookback_days: i
         "last_price",
     )
 
-    def moves(df: DataFrame, at: Column, sign: int, ex_date: Column) -> DataFrame:
-        return df.select(
-            "ticker",
-            "slice",
+    # An event day enters on its ex-date and leaves after the look-back, in its own slice or the next;
+    # in the latter case it enters there as well, ahead of every price.
+    expiry = F.date_add("ex_date", lookback_days + 1)
+    own, last = _slice(F.col("ex_date"), width), _slice(expiry, width)
+
+    def move(slice_no: Column, at: Column, sign: int, ex_date: Column) -> Column:
+        return F.struct(
+            slice_no.alias("slice"),
             at.alias("at"),
-            F.lit(0).alias("kind"),
             (F.col("amount") * sign).cast(EXACT).alias("amount"),
             (F.col("events") * sign).alias("events"),
             ex_date.alias("ex_date"),
-            none.cast("double").alias("last_price"),
         )
 
-    entering = moves(_reaching(days, lookback_days, width), F.col("ex_date"), 1, F.col("ex_date"))
-    expiry = F.date_add("ex_date", lookback_days + 1)
-    leaving = moves(days.withColumn("slice", _slice(expiry, width)), expiry, -1, none.cast("date"))
+    ex_date = F.col("ex_date")
+    moves = F.array_compact(
+        F.array(
+            move(own, ex_date, 1, ex_date),
+            move(last, expiry, -1, none.cast("date")),
+            F.when(own != last, move(last, ex_date, 1, ex_date)),
+        )
+    )
+    moved = days.select("ticker", F.inline(moves)).select(
+        "*", F.lit(0).alias("kind"), none.cast("double").alias("last_price")
+    )
 
     # On one day events come before prices, so an ex-date is in the window on that very day.
     so_far = (
@@ -116,7 +126,7 @@ def dividend_metrics_daily(price: DataFrame, events: DataFrame, lookback_days: i
         .orderBy("at", "kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    swept = prices.unionByName(entering).unionByName(leaving).select(
+    swept = prices.unionByName(moved).select(
         F.col("at").alias("date"),
         "ticker",
         "kind",

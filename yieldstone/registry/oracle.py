@@ -91,7 +91,7 @@ landed AS (
 
 VENDOR_DIV = """
 vendor_div AS (
-  SELECT ticker, l_shipdate + to_hours(CAST(l_partkey % 24 AS INTEGER)) AS ex_ts,
+  SELECT ticker, l_shipdate + to_hours(CAST(3 + l_partkey % 21 AS INTEGER)) AS ex_ts,
          CAST(paid * CAST(l_tax AS DECIMAL(4,2)) * CAST(0.25 AS DECIMAL(4,2)) AS DOUBLE) AS amount,
          paid * CAST(l_tax AS DECIMAL(4,2)) * CAST(0.25 AS DECIMAL(4,2)) AS amount_d
   FROM trades WHERE l_linenumber = 7 AND l_returnflag = 'A'),
