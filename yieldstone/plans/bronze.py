@@ -13,9 +13,9 @@ from ..operators.calendar import latest_dividend_date
 from ..operators.membership import members_for_dates
 from ..operators.stats import collection_summary
 from ..schemas import DIVIDEND, project
-from ..sources.landing import dated_dividends, normalize_price_landing, pit_price_landing
+from ..sources.landing import company_profile, dated_dividends, normalize_price_landing, pit_price_landing
 from ..sources.lake import Lake
-from ..sources.tables import append_dividends, write_price_if_absent, write_price_overwrite
+from ..sources.tables import append_dividends, write_parquet_zstd, write_price_if_absent, write_price_overwrite
 
 FIRST_RUN_DAYS = 400
 
@@ -77,6 +77,11 @@ def dividend_job(
     append_dividends(spark, project(fresh, DIVIDEND), lake.dividends, dedupe=False)
 
 
+def profile_job(landed: DataFrame, lake: Lake, tickers: DataFrame | None = None) -> None:
+    """Replace the stored company profiles by the landed ones of the given tickers."""
+    write_parquet_zstd(company_profile(_of_tickers(landed, tickers)), lake.profiles)
+
+
 def full_job(
     spark: SparkSession,
     landed_price: DataFrame,

@@ -189,7 +189,10 @@ summary AS (
              FROM members m
              LEFT JOIN (SELECT date, ticker, count(*) AS n FROM price GROUP BY ALL) p USING (date, ticker)
              GROUP BY m.date) r ON r.date = d.date
-  LEFT JOIN (SELECT date, count(*) AS events FROM dividend GROUP BY date) e ON e.date = d.date)"""
+  LEFT JOIN (SELECT date, count(*) AS events FROM dividend GROUP BY date) e ON e.date = d.date),
+rated AS (
+  SELECT *, rate AS success_rate, rate >= 0.2 AS success
+  FROM (SELECT *, CASE WHEN requested > 0 THEN CAST(ok AS DOUBLE) / requested ELSE 0.0 END AS rate FROM summary) t)"""
 
 # Point-in-time: membership is stored up to DAY; later weekdays fall back to the base list.
 PIT = f"""
@@ -243,6 +246,7 @@ E = (TRADES, DIVIDEND)
 M = (TRADES, PRICE, DIVIDEND, METRICS)
 C = (TRADES, CHANGES)
 MEM = (TRADES, CHANGES, BASE, WEEKDAYS, MEMBERS)
+SUM = (TRADES, PRICE, DIVIDEND, CHANGES, BASE, WEEKDAYS, MEMBERS, SUMMARY)
 PIT_ALL = (TRADES, CHANGES, BASE, WEEKDAYS, MEMBERS, VENDOR, VENDOR_DIV, PIT)
 
 LATEST = (
@@ -258,6 +262,18 @@ TOP = (
     "WHERE dividend_ttm > 0 ORDER BY dividend_yield_ttm DESC, ticker, date LIMIT {n}"
 )
 
+PROFILE = """
+SELECT c_name AS ticker, CASE WHEN c_custkey % 7 <> 0 THEN c_name ELSE '' END AS company_name,
+       c_mktsegment AS sector, c_custkey % 5 <> 0 AND c_custkey % 4 > 0 AS has_dividend,
+       CASE WHEN c_custkey % 5 <> 0 THEN (c_custkey % 4) / 100 ELSE 0.0 END AS dividend_yield,
+       CASE WHEN c_custkey % 5 = 1 THEN (c_custkey % 40) / 8 ELSE 0.0 END AS dividend_rate,
+       CASE WHEN c_custkey % 3 = 0 THEN 1700000000 + c_custkey END AS ex_dividend_date,
+       CASE WHEN c_custkey % 6 = 0 THEN 1700000000 + c_custkey END AS payment_date,
+       CASE WHEN c_custkey % 4 = 0 THEN CAST(4 AS INTEGER) END AS dividend_frequency,
+       CASE WHEN c_custkey % 9 <> 0 THEN c_custkey * 1000000 ELSE 0 END AS market_cap,
+       CASE WHEN c_custkey % 8 <> 0 THEN c_acctbal ELSE 0.0 END AS last_price
+FROM customer"""
+
 ORACLE: dict[str, str] = {
     # Scans and landing
     "load_price_for_date": _sql(f"SELECT {PRICE_COLUMNS} FROM price WHERE date = {DAY}", *P),
@@ -282,17 +298,9 @@ ORACLE: dict[str, str] = {
         TRADES,
         VENDOR_DIV,
     ),
-    "company_profile": """
-SELECT c_name AS ticker, CASE WHEN c_custkey % 7 <> 0 THEN c_name ELSE '' END AS company_name,
-       c_mktsegment AS sector, c_custkey % 5 <> 0 AND c_custkey % 4 > 0 AS has_dividend,
-       CASE WHEN c_custkey % 5 <> 0 THEN (c_custkey % 4) / 100 ELSE 0.0 END AS dividend_yield,
-       CASE WHEN c_custkey % 5 = 1 THEN (c_custkey % 40) / 8 ELSE 0.0 END AS dividend_rate,
-       CASE WHEN c_custkey % 3 = 0 THEN 1700000000 + c_custkey END AS ex_dividend_date,
-       CASE WHEN c_custkey % 6 = 0 THEN 1700000000 + c_custkey END AS payment_date,
-       CASE WHEN c_custkey % 4 = 0 THEN CAST(4 AS INTEGER) END AS dividend_frequency,
-       CASE WHEN c_custkey % 9 <> 0 THEN c_custkey * 1000000 ELSE 0 END AS market_cap,
-       CASE WHEN c_custkey % 8 <> 0 THEN c_acctbal ELSE 0.0 END AS last_price
-FROM customer""",
+    "company_profile": PROFILE,
+    "company_profile_job": PROFILE + " WHERE c_custkey IN (SELECT o_custkey FROM orders)",
+    "sorted_events": _sql("SELECT ex_date, ticker, amount, date FROM dividend ORDER BY ex_date, ticker", *E),
     "normalize_constituents": _sql(
         'SELECT symbol AS "Symbol", security AS "Security", sector AS "GICS Sector" '
         "FROM (SELECT upper(replace(s_name, '#', '-')) AS symbol, s_name AS security, 'Sector ' || s_nationkey AS sector "
@@ -481,28 +489,11 @@ FROM supplier"""
         WIDE,
         PARSED,
     ),
-    "collection_success_rate": _sql(
-        "SELECT date, requested, ok, rate AS success_rate, rate >= 0.2 AS success FROM (SELECT *, "
-        "CASE WHEN requested > 0 THEN CAST(ok AS DOUBLE) / requested ELSE 0.0 END AS rate FROM summary) t",
-        TRADES,
-        PRICE,
-        DIVIDEND,
-        CHANGES,
-        BASE,
-        WEEKDAYS,
-        MEMBERS,
-        SUMMARY,
-    ),
+    "collection_success_rate": _sql("SELECT date, requested, ok, success_rate, success FROM rated", *SUM),
+    "failed_dates_head": _sql("SELECT * EXCLUDE (rate) FROM rated WHERE NOT success ORDER BY date LIMIT 10", *SUM),
+    "sorted_changes": _sql("SELECT * FROM changes ORDER BY effective_date, action, ticker", *C),
     "collection_summary": _sql(
-        "SELECT date, requested, ok, failed, price_rows, events FROM summary",
-        TRADES,
-        PRICE,
-        DIVIDEND,
-        CHANGES,
-        BASE,
-        WEEKDAYS,
-        MEMBERS,
-        SUMMARY,
+        "SELECT date, requested, ok, failed, price_rows, events FROM rated", *SUM
     ),
     # Gold
     "gold_price_base": _sql(

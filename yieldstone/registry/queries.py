@@ -118,6 +118,19 @@ def company_profile(s, d):
     return _shown(land.company_profile(fx.profile_records(s, d)))
 
 
+@query
+def company_profile_job(s, d):
+    lake, landed = _lake(s, "lake"), fx.profile_records(s, d)
+    collected = fx.table(s, d, "orders").join(fx.table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    bronze.profile_job(landed, lake, collected.select(F.col("c_name").alias("ticker")).distinct())
+    return _shown(lake.read_profiles(s))
+
+
+@query
+def sorted_events(s, d):
+    return _shown(land.sorted_events(fx.dividends(s, d)))
+
+
 @query
 def normalize_constituents(s, d):
     return land.normalize_constituents(fx.constituents(s, d), ["Symbol", "Security", "GICS Sector"])
@@ -402,6 +415,16 @@ def collection_summary(s, d):
     return _summary(s, d).drop("success_rate", "success")
 
 
+@query
+def failed_dates_head(s, d):
+    return stats.failed_dates_head(_summary(s, d), 10)[0]
+
+
+@query
+def sorted_changes(s, d):
+    return chg.sorted_changes(fx.changes(s, d))
+
+
 # Gold
 
 

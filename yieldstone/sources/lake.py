@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE
+from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, PROFILE
 from .tables import scan_table
 
 
@@ -54,3 +54,6 @@ class Lake:
 
     def read_membership(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
         return scan_table(spark, self.membership, MEMBERSHIP, missing)
+
+    def read_profiles(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.profiles, PROFILE, missing)
