@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.calendar import default_range, last_days, trading_calendar
@@ -43,20 +43,29 @@ class BackfillResult:
 
 
 def gold_views(spark: SparkSession, lake: Lake, as_of: date | str | None = None) -> dict[str, DataFrame]:
-    """The eleven views over the stored tables. They are lazy: nothing runs until one is used."""
-    price, metrics = one_row_per_day(lake.read_price(spark)), lake.read_metrics(spark)
+    """The eleven views over the stored tables. They are lazy: nothing runs until one is used.
+
+    Without ``as_of`` each look-back counts from the newest stored date, which costs a scan of the
+    date column; give it for large tables.
+    """
+    stored, metrics, events = lake.read_price(spark), lake.read_metrics(spark), lake.read_dividends(spark)
+    price = one_row_per_day(stored)
+
+    def newest(df: DataFrame, column: str = "date") -> date | str | Column:
+        return df.agg(F.max(column)).scalar() if as_of is None else as_of
+
     return {
-        "price_timeseries_base": gold.price_timeseries_base(price, as_of),
-        "price_timeseries_enriched": gold.price_timeseries_enriched(price, as_of),
-        "returns_monthly": gold.returns_monthly(price, as_of),
-        "returns_quarterly": gold.returns_quarterly(price, as_of),
-        "price_latest_snapshot": gold.price_latest_snapshot(price),
-        "dividend_metrics_latest": gold.dividend_metrics_latest(metrics, price),
-        "dividend_calendar_2y": gold.dividend_calendar_2y(lake.read_dividends(spark), as_of),
-        "dividend_yield_rank_daily": gold.dividend_yield_rank_daily(metrics, as_of),
-        "market_daily_summary": gold.market_daily_summary(price, as_of),
-        "top_movers_daily": gold.top_movers_daily(price, as_of),
-        "factor_dividend_vs_fwd_return": gold.factor_dividend_vs_fwd_return(metrics, price, as_of),
+        "price_timeseries_base": gold.price_timeseries_base(price, newest(stored)),
+        "price_timeseries_enriched": gold.price_timeseries_enriched(price, newest(stored)),
+        "returns_monthly": gold.returns_monthly(price, newest(stored)),
+        "returns_quarterly": gold.returns_quarterly(price, newest(stored)),
+        "price_latest_snapshot": gold.price_latest_snapshot(stored),
+        "dividend_metrics_latest": gold.dividend_metrics_latest(metrics, stored),
+        "dividend_calendar_2y": gold.dividend_calendar_2y(events, newest(events, "ex_date")),
+        "dividend_yield_rank_daily": gold.dividend_yield_rank_daily(metrics, newest(metrics)),
+        "market_daily_summary": gold.market_daily_summary(price, newest(stored)),
+        "top_movers_daily": gold.top_movers_daily(price, newest(stored)),
+        "factor_dividend_vs_fwd_return": gold.factor_dividend_vs_fwd_return(metrics, price, newest(metrics)),
     }
 
 

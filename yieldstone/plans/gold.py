@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.position import rank_in, row_number_in, tile_of
 from ..operators.prices import cutoff, enriched, forward_return, newest_row, period_returns, previous_day
 
-AsOf = date | str | None
+AsOf = date | str | Column | None
 
 
 def price_timeseries_base(price: DataFrame, as_of: AsOf = None) -> DataFrame:
