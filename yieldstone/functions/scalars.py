@@ -54,7 +54,7 @@ def ticker_tokens(text: Column) -> Column:
     word = r"[\p{L}\p{N}_]"
     token = rf"(?<!{word})(?:[A-Z]{{2,5}}|[A-Z]{{1,3}}[0-9]{{1,2}})(?!{word})"
     stop = F.array(*[F.lit(w) for w in NOT_TICKERS])
-    return F.array_sort(F.array_except(F.regexp_extract_all(F.upper(text), F.lit(token), F.lit(0)), stop))
+    return F.sort_array(F.array_except(F.regexp_extract_all(F.upper(text), F.lit(token), F.lit(0)), stop))
 
 
 def parse_date_or_null(text: Column, *formats: str) -> Column:

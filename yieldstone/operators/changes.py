@@ -77,7 +77,9 @@ def parse_change_rows(
             F.when(contains_any(text, ADD_WORDS), "add").when(contains_any(text, REMOVE_WORDS), "remove"),
         )
         .filter(F.col("action").isNotNull())
-        .withColumn("ticker", F.explode(ticker_tokens(text)))
+        # The outer form, as Spark evaluates the array of a plain explode twice: once to test for rows.
+        .withColumn("ticker", F.explode_outer(ticker_tokens(text)))
+        .filter(F.col("ticker").isNotNull())
         .withColumn("year", F.year("effective_date")),
         CHANGES,
     )

@@ -535,7 +535,8 @@ def normalize_symbol(s, d):
 
 @query
 def extract_tickers(s, d):
-    return fx.table(s, d, "documents").select("doc_id", F.explode(fn.ticker_tokens(F.col("text"))).alias("ticker"))
+    found = F.explode_outer(fn.ticker_tokens(F.col("text"))).alias("ticker")
+    return fx.table(s, d, "documents").select("doc_id", found).filter(F.col("ticker").isNotNull())
 
 
 @query
