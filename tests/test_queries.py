@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.compare import difference, oracle_connection
+from yieldstone.registry.oracle import ORACLE
+from yieldstone.registry.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -32,13 +34,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns[:2] == ["date", "ticker"]
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - MANY_PARTITIONS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - MANY_PARTITIONS))
 def test_matches_sql(spark, con, name):
-    assert difference(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, FOLDER), con, ORACLE[name]) is None
