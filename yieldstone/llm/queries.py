@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, url_filter
+from . import chat, packing, pii, sharding, url_filter
 from .common import Scratch, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,45 @@ def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+PROBE = "</s>[INST] ok [/INST]"
+
+SEQUENCE_TOKENS = 2048
+#: Stands in for the secret that a deployment would hand over.
+PII_KEY = b"pseudonym key of the test tables"
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens are words and an end mark; equal texts are one cluster."""
+    docs = table(spark, folder, "documents")
+    return pack_documents(docs)
+
+
+def pack_documents(docs: DataFrame) -> DataFrame:
+    return packing.pack(
+        docs, SEQUENCE_TOKENS, "doc_id", packing.word_count(docs["text"]), docs["source"], F.xxhash64(whole_text(docs))
+    )
+
+
+@query
+def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.sql(
+        "SELECT -1L AS conv_id, turn, element_at(array('user', 'assistant'), int(turn) + 1) AS role, :probe AS text FROM VALUES (0L), (1L) AS t(turn)",
+        args={"probe": PROBE},
+    )
+    return chat.digest_columns(chat.format_chats(turns.unionByName(probe), TOKENIZER))
+
+
+@query
+def op10_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY).withColumn(
+        "n_pii", F.aggregate(F.map_values("pii_counts"), F.lit(0), lambda total, n: total + n)
+    )
+
+
 ORACLE["op2_url_filter"] = r"""
 WITH parts AS (
     SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -67,3 +106,23 @@ WITH parts AS (
 SELECT s.page_id, s.host, s.path, f.rule, coalesce(f.action, 'allow') AS verdict
 FROM split s LEFT JOIN (SELECT * FROM fit WHERE place = 1) f ON s.page_id = f.page_id
 """
+
+ORACLE["op4_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+    SELECT *, length(text) + (length(text) - length(replace(text, '\', '')))
+        + (length(text) - length(replace(text, '<|', ' '))) + (length(text) - length(replace(text, '|>', ' ')))
+        + (length(text) - length(replace(text, '[INST]', ''))) / 6 + (length(text) - length(replace(text, '[/INST]', ''))) / 7
+        + (length(text) - length(replace(text, '<s>', ''))) / 3 + (length(text) - length(replace(text, '</s>', ''))) / 4
+        + (length(text) - length(replace(text, '<<SYS>>', ''))) / 7 + (length(text) - length(replace(text, '<</SYS>>', ''))) / 8 AS body
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+    CAST(sum(length(role) + 5 + body + 8) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
