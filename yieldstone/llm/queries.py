@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, packing, pii, sharding, url_filter
+from . import chat, decontamination, packing, pii, sharding, url_filter
 from .common import Scratch, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,11 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest_columns(chat.format_chats(turns.unionByName(probe), TOKENIZER))
 
 
+@query
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op10_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
