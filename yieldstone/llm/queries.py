@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, ngram_join, packing, pii, sharding, url_filter
+from . import chat, decontamination, fingerprints, ngram_join, packing, pii, sharding, url_filter
 from .common import Scratch, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,11 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, folder, "documents"))
 
 
+@query
+def op7_weighted_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared_with_next(table(spark, folder, "documents"))
+
+
 @query
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
