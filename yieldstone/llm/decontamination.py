@@ -128,13 +128,9 @@ def build_index(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
     return docs.select(ident, text).mapInArrow(run, f"{INDEX_COLUMNS}, docs array<{kind}>")
 
 
-class Items:
-    """A block of benchmark items: the words of each as token keys, and its windows."""
-
-    def __init__(self, rows: Sequence[tuple[object, str | None]], window: int):
-        self.items = [(i, token_keys(words)) for i, text in rows if (words := words_of(text))]
-        self.keys = np.unique(np.concatenate([k for _, k in self.items])) if self.items else np.empty(0, np.uint64)
-        self.window = window
+def items_of(rows: Sequence[tuple[object, str | None]]) -> list[tuple[object, np.ndarray]]:
+    """The items that have words, each with its words as token keys."""
+    return [(i, token_keys(words)) for i, text in rows if (words := words_of(text))]
 
 
 def postings_of(keys: np.ndarray, counts: np.ndarray, gaps: np.ndarray, wanted: np.ndarray) -> dict[int, np.ndarray]:
@@ -195,7 +191,7 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         yield low, high
 
 
-def _matches(lists: dict[int, np.ndarray], starts: np.ndarray, items: Items, near: int | None) -> Iterator[tuple]:
+def _matches(lists: dict[int, np.ndarray], starts: np.ndarray, items: list, window: int, near: int | None) -> Iterator[tuple]:
     """(document's place, item, kind, from, to) with merged spans of words, for one segment."""
 
     def spans(found: list[np.ndarray], length: int, item, kind: str) -> Iterator[tuple]:
@@ -210,16 +206,16 @@ def _matches(lists: dict[int, np.ndarray], starts: np.ndarray, items: Items, nea
                 yield int(d), item, kind, a, b
 
     nothing = np.empty(0, np.int64)
-    for item, keys in items.items:
+    for item, keys in items:
         terms = [lists.get(int(k), nothing) for k in keys]
         here = np.array([len(t) > 0 for t in terms])
-        length = min(items.window, len(keys))
+        length = min(window, len(keys))
         exact, close = [], []
         for w in range(len(keys) - length + 1):
             if not here[w : w + length].all():
                 continue
             exact.append(phrase_starts(terms[w : w + length]))
-            if near and length == items.window:
+            if near and length == window:
                 distinct = {int(k): t for k, t in zip(keys[w : w + length], terms[w : w + length], strict=True)}
                 at = near_stretches(list(distinct.values()), near)
                 if len(at):  # a stretch must not reach into the next document
@@ -228,22 +224,23 @@ def _matches(lists: dict[int, np.ndarray], starts: np.ndarray, items: Items, nea
         yield from spans(close, near or 0, item, "near")
 
 
-def find_matches(index: DataFrame, items: Items, ident_type: str, item_type: str, near: int | None = NEAR) -> DataFrame:
+def find_matches(index: DataFrame, items: list, item_type: str, window: int = WINDOW, near: int | None = NEAR) -> DataFrame:
     """One row for each merged match: ``row`` (the document), ``item_id``, ``kind``, ``low``, ``high`` (words).
 
     Postings of words the items don't have are left out before the segments are brought together.
     """
-    shared = index.sparkSession.sparkContext.broadcast(items)  # at most BLOCK_WORDS words and their keys
+    vocabulary = np.unique(np.concatenate([k for _, k in items])) if items else np.empty(0, np.uint64)
+    shared = index.sparkSession.sparkContext.broadcast((items, vocabulary))  # about BLOCK_WORDS words
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
+        words = shared.value[1]
         for batch in batches:
             for i in range(batch.num_rows):
                 if batch["bucket"][i].as_py() < 0:
                     yield batch.slice(i, 1).select(names)
                     continue
                 keys = np.frombuffer(batch["keys"][i].as_buffer(), np.uint64)
-                keep = np.isin(keys, block.keys)
+                keep = np.isin(keys, words)
                 if not keep.any():
                     continue
                 counts = np.frombuffer(batch["counts"][i].as_buffer(), "<u4")
@@ -268,7 +265,7 @@ def find_matches(index: DataFrame, items: Items, ident_type: str, item_type: str
                 continue
             lists |= postings_of(keys, np.frombuffer(row["counts"], "<u4"), _from_planes(row["gaps"]), keys)
         base = table["segment"][0].as_py() << 24
-        found = list(_matches(lists, starts, shared.value, near))
+        found = list(_matches(lists, starts, shared.value[0], window, near))
         doc, item, kind, low, high = zip(*found, strict=True) if found else ((),) * 5
         return pa.table(
             {
@@ -318,10 +315,10 @@ def decontaminate(
     spark = docs.sparkSession
     scratch = Scratch(spark, "positions")
     index = scratch.keep(build_index(docs.select(F.col(ident), F.col("text")), ident), "index")
-    kinds = dict(docs.dtypes)[ident], dict(benchmark.dtypes)[item]
+    kind = dict(benchmark.dtypes)[item]
     found = None
     for rows in item_blocks(benchmark.where(F.col(item).isNotNull()), item, "text"):
-        block = find_matches(index, Items(rows, window), *kinds, near)
+        block = find_matches(index, items_of(rows), kind, window, near)
         found = block if found is None else found.unionByName(block)
     found = scratch.keep(found, "matches")
     by_start = Window.partitionBy("row").orderBy("low", "high")
