@@ -36,7 +36,7 @@ BUCKETS = 256
 #: Bits of the filter that spares the last pass over the texts most documents; fixed, and free of wrong misses.
 FILTER_BITS = 1 << 24
 #: Postings that a task gathers before it hands them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 _LIMIT = np.uint64(int(COUNTED * 2**64))
 
@@ -124,12 +124,11 @@ def frequent_tokens(docs: DataFrame, text: str, size: int) -> np.ndarray:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["bucket", "tokens", "counts"])
 
         for _, texts in _texts(batches, 0):
-            for x in texts:
-                tokens = shingle(x)
+            for tokens in shingle(texts):
                 if len(tokens) < 2 or (digest := set_digest(tokens)) in seen:
                     continue
                 seen.add(digest)
-                gathered.append(tokens[: np.searchsorted(tokens, _LIMIT)])
+                gathered.append(tokens[: np.searchsorted(tokens, _LIMIT)].copy())
                 held += len(gathered[-1])
                 if held >= FLUSH:
                     yield flush()
@@ -153,10 +152,13 @@ def frequent_tokens(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
 
 def _index_pass(docs: DataFrame, ident: str, text: str, size: int, frequent: np.ndarray) -> DataFrame:
-    """A row (ident, node, n, entries) for each document, and postings of rare tokens by bucket."""
+    """A row (ident, node, n, sketch, entries) for each document, and postings of rare tokens by bucket.
+
+    Of equal sets that a task meets before it hands its postings on, one carries sketch, entries and postings.
+    """
     known = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MAX_FREQUENT numbers
     kind = dict(docs.dtypes)[ident]
-    names = ["ident", "node", "n", "entries", "bucket", "tokens", "places", "nodes"]
+    names = ["ident", "node", "n", "sketch", "entries", "bucket", "tokens", "places", "nodes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, often = Shingler(size), known.value
@@ -173,34 +175,36 @@ def _index_pass(docs: DataFrame, ident: str, text: str, size: int, frequent: np.
                 used, local = np.unique(places[s], return_inverse=True)
                 out.append((b, _packed(tokens[s]), local.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), nodes[used].tobytes()))
             columns = list(zip(*out, strict=True))
-            empty = [pa.nulls(len(out), t) for t in (ident_type, pa.int64(), pa.int32(), pa.list_(pa.int64()))]
+            empty = [pa.nulls(len(out), t) for t in (ident_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()))]
             blobs = [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)]
             return pa.RecordBatch.from_arrays(empty + blobs, names)
 
         for part, texts in _texts(batches, 1):
-            nodes, sizes, entries = [], [], []
-            for x in texts:
-                tokens = shingle(x)
+            nodes, sizes, sketches, entries = [], [], [], []
+            for tokens in shingle(texts):
                 nodes.append(set_digest(tokens))
                 sizes.append(len(tokens))
+                sketches.append(None)
                 entries.append(tokens[:0])
                 if len(tokens) < 2 or nodes[-1] in seen:
                     continue
+                sketches[-1] = _sketch(tokens)
                 rare, entries[-1] = index_entries(tokens, often)
                 seen[nodes[-1]] = len(tokens)
-                gathered.append(rare)
+                gathered.append(rare.copy())
                 held += len(rare)
             ends = np.concatenate([[0], np.cumsum([len(e) for e in entries])])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(entries).view(np.int64)))
             empty = [pa.nulls(len(texts), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([part[0], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), lists, *empty], names)
+            known_of = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([part[0], *known_of, lists, *empty], names)
             if held >= FLUSH:
                 yield flush(part[0].type)
                 gathered, held, seen = [], 0, {}
         if held:
             yield flush(part[0].type)
 
-    shape = f"ident {kind}, node long, n int, entries array<long>, bucket int, tokens binary, places binary, nodes binary"
+    shape = f"ident {kind}, node long, n int, sketch binary, entries array<long>, bucket int, tokens binary, places binary, nodes binary"
     return docs.select(ident, text).mapInArrow(run, shape)
 
 
@@ -274,7 +278,7 @@ def _tested(pairs: DataFrame, sets: DataFrame, column: str, test: Callable[[byte
 
 
 def _sets_of(docs: DataFrame, ident: str, text: str, size: int, wanted: DataFrame) -> DataFrame:
-    """(node, n, tokens, sketch) of the wanted nodes (``node`` and the ``ident`` of a document that has it)."""
+    """(node, n, tokens) of the wanted nodes (``node`` and the ``ident`` of a document that has it)."""
     word = F.shiftright(F.pmod(F.xxhash64("ident"), F.lit(FILTER_BITS)), 6)
     bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(ident), {FILTER_BITS}) & 63 as int))")
     rows = wanted.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("mask")).toArrow()
@@ -289,16 +293,16 @@ def _sets_of(docs: DataFrame, ident: str, text: str, size: int, wanted: DataFram
             hit = (known[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
             few = batch.filter(pa.array(hit.astype(bool)))
             for part, texts in _texts([few], 1):
-                sets = [shingle(x) for x in texts]
+                sets = list(shingle(texts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([_sketch(s) if len(s) else b"" for s in sets], pa.binary()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    ["node", "n", "tokens", "sketch"],
+                    ["node", "n", "tokens"],
                 )
 
-    found = docs.select(F.xxhash64(ident).alias("h"), text).mapInArrow(run, "node long, n int, tokens binary, sketch binary")
+    found = docs.select(F.xxhash64(ident).alias("h"), text).mapInArrow(run, "node long, n int, tokens binary")
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -330,12 +334,14 @@ def similar_components(docs: DataFrame, ident: str = "doc_id", text: str = "text
     first = scratch.keep(led.select(F.col("leader").alias("a"), F.col("node").alias("b")), "first")
 
     holders = members.groupBy("node").agg(F.min("ident").alias("ident"))
-    in_groups = entries.join(groups.select("entry"), "entry", "left_semi").select("node").distinct()
-    wanted = scratch.keep(holders.join(in_groups, "node", "left_semi"), "wanted")
-    sets = scratch.keep(_sets_of(docs, ident, text, size, wanted), "sets")
+    sketches = indexed.where("sketch IS NOT NULL").select("node", "n", "sketch").dropDuplicates(["node"])
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        likely = scratch.keep(_tested(pairs, sets, "sketch", _may_link), f"{name}-likely")
+        """The pairs that are links; sets are made again for the nodes only whose sketches allow one."""
+        likely = scratch.keep(_tested(pairs, sketches, "sketch", _may_link), f"{name}-likely")
+        ends = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        wanted = scratch.keep(holders.join(ends, "node"), f"{name}-wanted")
+        sets = scratch.keep(_sets_of(docs, ident, text, size, wanted), f"{name}-sets")
         return scratch.keep(_tested(likely, sets, "tokens", _is_link), name)
 
     found = links(first, "links-first")

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
 import xxhash
 
-#: Distinct words whose hashes a task keeps at hand.
-MEMO_WORDS = 400_000
+#: Bytes of text that are hashed together.
+CHUNK_BYTES = 4_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Masks that keep the first 0 to 8 bytes of a little-endian number.
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -19,12 +24,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
+def distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    if len(values) < 2:
+        return values
+    fresh = np.empty(len(values), bool)
+    fresh[0] = True
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    return values[fresh]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of UTF-8 text start, and a hash of each, eight bytes a round over all words that are so long."""
+    raw = np.frombuffer(data + b" " * 8, np.uint8)
+    space = np.empty(len(data) + 2, bool)
+    space[0] = space[-1] = True
+    np.take(_SPACE, raw[: len(data)], out=space[1:-1])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(data) + 1, "<u8", raw, strides=(1,))
+    h = mixed(sizes.astype(np.uint64) * _ODD)
+    todo, at, left = np.arange(len(starts)), starts, sizes
+    while len(todo):
+        h[todo] = mixed(h[todo] ^ (eight[at] & _KEEP[np.minimum(left, 8)]))
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    return starts, h
 
 
 class Shingler:
@@ -35,18 +60,39 @@ class Shingler:
     """
 
     def __init__(self, size: int = 5):
-        self.size, self.hashes = size, _Hashes()
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = text.encode().lower().split() if text else []
-        if not words:
-            return np.empty(0, np.uint64)
-        h = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        size = min(self.size, len(h))
-        s = h[: len(h) - size + 1] + np.uint64(size)
+        self.size = size
+
+    def __call__(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+        """The set of each text, nulls as empty texts."""
+        chunk, held = [], 0
+        for text in texts:
+            data = text.encode().lower() if text else b""
+            chunk.append(data)
+            held += len(data) + 1
+            if held >= CHUNK_BYTES:
+                yield from self._sets(chunk)
+                chunk, held = [], 0
+        yield from self._sets(chunk)
+
+    def _sets(self, chunk: list[bytes]) -> Iterator[np.ndarray]:
+        starts, h = word_hashes(b"\n".join(chunk))
+        ends = np.cumsum([len(data) + 1 for data in chunk])
+        cuts = np.concatenate([[0], np.searchsorted(starts, ends)]).tolist()
+        full = self._rolled(h, self.size)
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if high - low >= self.size:
+                yield distinct(full[low : high - self.size + 1])
+            else:
+                yield self._rolled(h[low:high], high - low) if high > low else np.empty(0, np.uint64)
+
+    @staticmethod
+    def _rolled(h: np.ndarray, size: int) -> np.ndarray:
+        """A hash of each run of ``size`` words."""
+        n = max(0, len(h) - size + 1)
+        s = h[:n] + np.uint64(size)
         for k in range(1, size):
-            s = s * _ODD + (h[k : len(h) - size + 1 + k] ^ (s >> np.uint64(32)))
-        return np.unique(mixed(s))
+            s = s * _ODD + (h[k : n + k] ^ (s >> np.uint64(32)))
+        return mixed(s)
 
 
 def set_digest(tokens: np.ndarray) -> int:
