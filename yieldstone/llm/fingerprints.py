@@ -75,7 +75,7 @@ def paired_terms(rows: DataFrame, keys: Sequence[str], one: str, other: str, sha
 
 
 def sampled(terms: DataFrame, keys: Sequence[str], weights: Sequence[str], samples: int = SAMPLES) -> DataFrame:
-    """For each key, and each weight column w, the array ``w_samples`` of the samples (32 bits each).
+    """For each key, and each weight column w, the array ``w_samples`` of the samples (31 bits each).
 
     ``terms`` has one row for each key and term (a long), a weight of 0 for a term that this side lacks, and must be
     partitioned by (some of) the keys already, so that nothing is shuffled here. A side without terms has null.
@@ -89,7 +89,7 @@ def sampled(terms: DataFrame, keys: Sequence[str], weights: Sequence[str], sampl
         F.min(log_a(*(F.col(f"__{x}{i}") for x in "rbc"), F.col(f"__{w}"))).alias(f"__{w}{i}") for w in weights for i in range(per_row)
     ]
     chunks = rows.groupBy(*keys, "__first").agg(*least)
-    folded = {w: F.array(*[F.xxhash64(f"__{w}{i}").bitwiseAND(F.lit(0xFFFFFFFF)) for i in range(per_row)]) for w in weights}
+    folded = {w: F.array(*[F.shiftrightunsigned(F.xxhash64(f"__{w}{i}"), 33).cast("int") for i in range(per_row)]) for w in weights}
     # a side without terms has only null minima
     folded = {w: F.when(F.col(f"__{w}0").isNotNull(), a) for w, a in folded.items()}
     chunks = chunks.select(*keys, *[F.struct("__first", a.alias("part")).alias(w) for w, a in folded.items()])
@@ -143,10 +143,11 @@ def compared_with_next(docs: DataFrame, ident: str = "doc_id", text: str = "text
     quarter = F.expr("cast(n_chars div 4 as int)")
     before = order.select(after.alias("rank"), *[F.col(k).alias(f"{k}_to") for k in KEY], quarter.alias("need"))
     asked = order.select("rank", *KEY).join(before, "rank").drop("rank")
-    heads = own.join(asked, KEY).select(*[F.col(f"{k}_to").alias(k) for k in KEY], F.substring(F.col("one"), F.lit(1), F.col("need")).alias("head"))
+    # the sides with hints are the narrow ones: texts are neither sorted nor spilled
+    heads = own.join(asked.hint("shuffle_hash"), KEY).select(*[F.col(f"{k}_to").alias(k) for k in KEY], F.substring(F.col("one"), F.lit(1), F.col("need")).alias("head"))
     ends = order.select(*KEY, "n_chars", "copies").join(heads.groupBy(*KEY).agg(F.first("head").alias("head")), KEY)
     kept = F.col("n_chars").cast("int") - quarter
-    pairs = own.drop("__id").join(ends, KEY).withColumn("other", F.concat(F.substring(F.col("one"), F.lit(1), kept), F.col("head")))
+    pairs = own.drop("__id").join(ends.hint("shuffle_hash"), KEY).withColumn("other", F.concat(F.substring(F.col("one"), F.lit(1), kept), F.col("head")))
     digests = pairs.groupBy(*KEY).agg(F.min(F.sha2("other", 256)).alias("edited_sha256"))
     terms = paired_terms(pairs, KEY, "one", "other", kept, "copies")
     marks = digests.join(sampled(terms, KEY, ["one_n", "other_n"]), KEY, "left")
