@@ -5,12 +5,63 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from yieldstone.llm import decontamination, ngram_join, pii
 from yieldstone.llm.common import Scratch, table
+from yieldstone.llm.queries import PII_KEY, pack_documents, with_toxicity
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain gives a probability below one half of being toxic, or none at all."""
+    judged = with_toxicity(spark, docs, sf_dir)
+    return judged.where(F.coalesce("p_toxic", F.lit(0.0)) < 0.5).select(*docs.columns)
+
+
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of similar texts the document with the smallest id, once if its row is repeated.
+
+    Rows that share that id but not the text all stay.
+    """
+    least = ngram_join.similar_components(docs).where("doc_id <=> component_id")
+    kept = Scratch(spark, "pipeline").keep(least.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    once = _with_ids(docs, kept.where("rows = 1"))
+    again = kept.where("rows > 1")
+    if again.isEmpty():
+        return once
+    return once.unionByName(_with_ids(docs, again).dropDuplicates(["doc_id", "text"]))
+
+
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item; an id with such a text goes with all its rows."""
+    judged = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), near=None)
+    hit = judged.where("contaminated").select("doc_id").distinct()
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+
+
+def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced."""
+    return pii.pseudonymise(docs, PII_KEY, result="__pii").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document goes in the training sequences."""
+    return pack_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("ngram_join", one_of_similar),
+    ("decontamination", without_benchmarks),
+    ("pii", with_pseudonyms),
+    ("packing", packed),
+]
 
 #: The trained model, the links between texts and the packing can't be said in SQL.
 ORACLE_SQL = None

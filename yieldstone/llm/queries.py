@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fingerprints, ngram_join, packing, pii, sharding, url_filter
+from . import chat, decontamination, fingerprints, ngram_join, packing, pii, quality, sharding, toxicity, url_filter
 from .common import Scratch, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,23 @@ URL_RULES = (
 )
 
 
+#: The order of the chain: the categories that the labels have, the one that is asked for last.
+TOXICITY_CHAIN = ("low_quality", "toxic")
+
+
+def with_toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """``docs`` with p_low_quality and p_toxic from a chain fitted on labelled documents of the table itself."""
+    labels = table(spark, folder, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    chain = toxicity.train(table(spark, folder, "documents"), labels, TOXICITY_CHAIN)
+    return toxicity.classified(docs, chain, TOXICITY_CHAIN)
+
+
+@query
+def op1_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    judged = with_toxicity(spark, table(spark, folder, "documents"), folder)
+    return judged.select("doc_id", "p_low_quality", "p_toxic", (F.coalesce("p_toxic", F.lit(0.0)) >= 0.5).alias("toxic"))
+
+
 @query
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
@@ -82,6 +99,19 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest_columns(chat.format_chats(turns.unionByName(probe), TOKENIZER))
 
 
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+@query
+def op5_quality_pu(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels are only read outside the held-out third, and only where they are 1."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    trusted = table(spark, folder, "labels").where(~held_out() & (F.col("quality") == 1))
+    model = quality.train(docs, trusted, ~held_out())
+    return quality.scored(docs.withColumn("held_out", F.coalesce(held_out(), F.lit(False))), model, keep=["held_out"])
+
+
 @query
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_components(table(spark, folder, "documents"))
