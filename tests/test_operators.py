@@ -237,10 +237,14 @@ def test_backfill_end_to_end(spark):
     log = changes(spark, (date(2024, 1, 4), "remove", "B"), (date(2024, 1, 3), "add", "C"))
     sources, start, end = Sources(prices, dividends, base, log), date(2024, 1, 1), date(2024, 1, 9)
 
+    gated = full_backfill(spark, sources, Lake(scratch_path(spark, "lake")), start, end, point_in_time=False)
+    assert gated.steps == {"bronze": False}  # 1 January is a weekday without prices
+    failed = gated.status["bronze"].filter("NOT success").collect()
+    assert [(r["date"], r["requested"], r["ok"]) for r in failed] == [(start, 2, 0)]
+
     plain = Lake(scratch_path(spark, "lake"))
     for _ in range(2):
-        # 1 January is a weekday without prices: nothing is stored for it.
-        result = full_backfill(spark, sources, plain, start, end, point_in_time=False)
+        result = full_backfill(spark, sources, plain, start, end, point_in_time=False, gate=0.0)
         assert result.success and list(result.steps) == ["bronze", "silver", "gold"]
         stored = plain.read_metrics(spark)
         assert stored.count() == 12

@@ -1,8 +1,4 @@
-"""Every registered query against its SQL over the smallest tables.
-
-Queries that store thousands of date partitions are left to ``tests/compare.py``: a local disk takes
-half a minute for each, and their write semantics are covered by ``test_tables.py``.
-"""
+"""Every registered query against its SQL over the smallest tables."""
 
 import pytest
 
@@ -13,21 +9,6 @@ from yieldstone.registry.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
-MANY_PARTITIONS = {
-    "write_price_if_absent",
-    "write_price_overwrite",
-    "append_dividends",
-    "upsert_silver_date",
-    "overwrite_membership_daily",
-    "silver_backfill",
-    "bronze_price_job",
-    "bronze_backfill_job",
-    "pit_backfill_job",
-    "membership_setup_job",
-    "full_backfill_job",
-}
-
-
 @pytest.fixture(scope="module")
 def con():
     return oracle_connection(FOLDER)
@@ -42,6 +23,6 @@ def test_entry(spark):
     assert entry.entry(spark).columns[:2] == ["date", "ticker"]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - MANY_PARTITIONS))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
     assert difference(QUERIES[name](spark, FOLDER), con, ORACLE[name]) is None

@@ -1,12 +1,14 @@
 """Stored tables: what each write does to what is there, read back and repeated."""
 
+import time
 from datetime import date, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from yieldstone.operators.changes import seed_membership_changes
-from yieldstone.schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, require_columns
+from yieldstone.schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, PROFILE, require_columns
 from yieldstone.session import scratch_path
 from yieldstone.sources import tables as tab
 
@@ -35,10 +37,24 @@ def test_price_if_absent_and_overwrite(spark):
 
 
 def test_large_day_is_written_by_several_tasks(spark):
-    df = spark.range(1000).selectExpr("date'2024-01-15' AS date", "concat('T', id) AS ticker")
-    laid = tab._laid_out(df, "date", ["ticker"], {D15: 1000}, rows_per_file=100)
-    used = [n for n in laid.rdd.glom().map(len).collect() if n]
-    assert sum(used) == 1000 and len(used) > 1
+    """A day beyond Spark's advisory size makes several files, each sorted by ticker; 10,000 days plan at once."""
+    path, key = scratch_path(spark, "t"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    df = spark.range(60_000, numPartitions=8).selectExpr(
+        "date'2024-01-15' AS date", "concat('T', xxhash64(id)) AS ticker", "rand(1) AS close", *[f"rand({i}) AS r{i}" for i in range(4)]
+    )
+    spark.conf.set(key, "200k")
+    try:
+        tab._write(df, path, "overwrite", "date", ["ticker"])
+    finally:
+        spark.conf.unset(key)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 60_000 and len(stored.inputFiles()) > 2
+    one = [r["ticker"] for r in spark.read.parquet(stored.inputFiles()[0]).collect()]
+    assert one == sorted(one)
+    days = spark.range(10_000).selectExpr("date_add(date'1990-01-01', int(id)) AS date", "'A' AS ticker")
+    began = time.perf_counter()
+    days.hint("rebalance", F.col("date")).sortWithinPartitions("date", "ticker")._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - began < 1
 
 
 def test_append_dividends(spark):
@@ -48,8 +64,12 @@ def test_append_dividends(spark):
     again = spark.createDataFrame([(D15, "A", 0.5, D16, NOW), (D16, "A", 0.7, D16, NOW)], DIVIDEND)
     tab.append_dividends(spark, again, path)
     assert sorted(r["amount"] for r in tab.scan_table(spark, path, DIVIDEND).collect()) == [0.1, 0.5, 0.7]
+    special = spark.createDataFrame([(D15, "A", 5.0, D16, NOW), (D15, "A", 5.0, D16, NOW), (D15, "A", 0.5, D16, NOW)], DIVIDEND)
+    for _ in range(2):
+        tab.append_dividends(spark, special, path)
+        assert sorted(r["amount"] for r in tab.scan_table(spark, path, DIVIDEND).collect()) == [0.1, 0.5, 0.7, 5.0, 5.0]
     tab.append_dividends(spark, again, path, dedupe=False)
-    assert tab.scan_table(spark, path, DIVIDEND).count() == 5
+    assert tab.scan_table(spark, path, DIVIDEND).count() == 7
 
 
 def test_upsert_silver(spark):
@@ -108,12 +128,31 @@ def test_exists_and_window(spark):
     assert tab.dividends_in_window(events, D15).count() == 1
 
 
-def test_nan_is_read_as_null(spark):
+def test_nan_is_stored_as_null(spark):
     path = scratch_path(spark, "t")
     tab.write_parquet_zstd(price(spark, (D15, "A", float("nan"))), path)
     assert tab.scan_table(spark, path, PRICE).first()["close"] is None
 
 
+def test_filter_on_a_measure_reaches_the_scan(spark):
+    path = scratch_path(spark, "t")
+    tab.write_price_overwrite(price(spark, (D15, "A", 1.0)), path)
+    plan = tab.scan_table(spark, path, PRICE).filter("close > 0")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(close,0.0)" in plan
+
+
+def test_profiles_are_replaced_by_ticker(spark):
+    path = scratch_path(spark, "t")
+
+    def rows(*names):
+        return spark.createDataFrame([(t, name, "", False, 0.0, 0.0, None, None, None, 0, 0.0, NOW) for t, name in names], PROFILE)
+
+    tab.upsert_profiles(spark, rows(("A", "one"), ("B", "two")), path)
+    tab.upsert_profiles(spark, rows(("B", "new")), path)
+    tab.upsert_profiles(spark, rows(), path)
+    assert sorted((r["ticker"], r["company_name"]) for r in tab.scan_table(spark, path, PROFILE).collect()) == [("A", "one"), ("B", "new")]
+
+
 def test_date_filter_prunes_partitions(spark):
     path = scratch_path(spark, "t")
     tab.write_price_overwrite(price(spark, (D15, "A", 1.0), (D16, "A", 2.0)), path)

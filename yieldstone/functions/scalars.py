@@ -57,9 +57,13 @@ def ticker_tokens(text: Column) -> Column:
     return F.sort_array(F.array_except(F.regexp_extract_all(F.upper(text), F.lit(token), F.lit(0)), stop))
 
 
+#: What a date may look like in landed text, tried in this order; month before day between slashes.
+DATE_FORMATS = ("yyyy-MM-dd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "M/d/yyyy", "yyyy/M/d", "yyyy-MM-dd HH:mm:ss")
+
+
 def parse_date_or_null(text: Column, *formats: str) -> Column:
-    """A date read by the first format that fits (default ISO), or NULL where none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats or ("yyyy-MM-dd",)]).cast("date")
+    """A date read by the first of the formats (default ``DATE_FORMATS``) that fits, or NULL where none does."""
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats or DATE_FORMATS]).cast("date")
 
 
 def is_trading_day(d: Column) -> Column:

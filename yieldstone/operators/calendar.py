@@ -57,15 +57,21 @@ def latest_dividend_date(events: DataFrame) -> DataFrame:
 
 
 def incremental_dividends(
-    landed: DataFrame, stored: DataFrame, until: date | str | Column, first_run_days: int = 400
+    landed: DataFrame,
+    stored: DataFrame,
+    until: date | str | Column,
+    first_run_days: int = 400,
+    first: date | str | Column | None = None,
 ) -> DataFrame:
     """Landed events after the stored high-water mark, up to and including ``until``.
 
-    An empty store takes the last ``first_run_days`` days. The mark is one date over all tickers;
-    at or beyond ``until`` it leaves nothing to collect.
+    An empty store takes the last ``first_run_days`` days before ``first``, which is ``until`` unless given;
+    with a mark there is no such limit. The mark is one date over all tickers; at or beyond ``until`` it
+    leaves nothing to collect.
     """
     mark = latest_dividend_date(stored).scalar()
-    since = F.coalesce(F.date_add(mark, 1), F.date_sub(day(until), first_run_days))
+    start = day(until) if first is None else day(first)
+    since = F.coalesce(F.date_add(mark, 1), F.date_sub(start, first_run_days))
     return landed.filter((F.col("ex_date") >= since) & (F.col("ex_date") <= day(until)))
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import contains_any, parse_date_or_null, ticker_tokens
+from ..functions.scalars import DATE_FORMATS, contains_any, parse_date_or_null, ticker_tokens
 from ..schemas import CHANGES, project
 
 # Words that mark a cell as an addition or a removal, headers that mark a change log.
@@ -53,25 +53,38 @@ def is_changes_table(df: DataFrame) -> bool:
     return len(df.columns) > 1 and any(word in headers for word in DATE_HEADERS + ACTION_HEADERS)
 
 
-def parse_change_rows(
-    wide: DataFrame, start_year: int, formats: tuple[str, ...] = ("yyyy-MM-dd", "MMMM d, yyyy")
-) -> DataFrame:
+def _change_dates(wide: DataFrame, formats: tuple[str, ...]) -> tuple[str | None, Column | None]:
+    dated = [c for c in wide.columns if any(word in c.lower() for word in DATE_HEADERS)]
+    if not dated:
+        return None, None
+    raw = F.col(f"`{dated[0]}`")
+    is_text = dict(wide.dtypes)[dated[0]] == "string"
+    return dated[0], parse_date_or_null(raw, *formats) if is_text else raw.cast("date")
+
+
+def unparsed_change_rows(wide: DataFrame, formats: tuple[str, ...] = DATE_FORMATS) -> DataFrame:
+    """One row: the rows of a wide change table, and how many have no date that can be read."""
+    column, parsed = _change_dates(wide, formats)
+    unread = F.lit(True) if column is None else parsed.isNull()
+    return wide.agg(F.count(F.lit(1)).alias("rows"), F.count_if(unread).alias("unparsed"))
+
+
+def parse_change_rows(wide: DataFrame, start_year: int, formats: tuple[str, ...] = DATE_FORMATS) -> DataFrame:
     """A wide change table to one row per (date, action, ticker).
 
     The first column with a date-like header gives the date; rows whose date does not parse or lies
-    before ``start_year`` are left out. Each other cell is an addition if it holds an add word, else
+    before ``start_year`` are left out (``unparsed_change_rows`` counts the former). Each other cell is an addition if it holds an add word, else
     a removal if it holds a remove word. Text with "replaced" therefore counts as an addition.
     """
-    dated = [c for c in wide.columns if any(word in c.lower() for word in DATE_HEADERS)]
-    if not dated:
+    dated, parsed = _change_dates(wide, formats)
+    if dated is None:
         return project(wide.sparkSession.createDataFrame([], CHANGES), CHANGES)
-    raw = F.col(f"`{dated[0]}`")
-    parsed = raw.cast("date") if dict(wide.dtypes)[dated[0]] != "string" else parse_date_or_null(raw, *formats)
-    cells = F.array(*[F.col(f"`{c}`").cast("string") for c in wide.columns if c != dated[0]])
+    cells = F.array(*[F.col(f"`{c}`").cast("string") for c in wide.columns if c != dated])
     text: Column = F.col("description")
     return project(
-        wide.select(parsed.alias("effective_date"), F.explode(cells).alias("description"))
+        wide.select(parsed.alias("effective_date"), cells.alias("_cells"))
         .filter(F.year("effective_date") >= start_year)
+        .select("effective_date", F.explode("_cells").alias("description"))
         .withColumn(
             "action",
             F.when(contains_any(text, ADD_WORDS), "add").when(contains_any(text, REMOVE_WORDS), "remove"),

@@ -32,7 +32,13 @@ def _sliced(df: DataFrame, group: str, key: list[str], sample_bits: int, max_cut
         .agg(F.sort_array(F.collect_list(F.struct(*key))).alias("_cuts"))
     )
     here = F.struct(*key)
-    below = F.size(F.filter("_cuts", lambda cut: cut <= here))
+    # Binary search: the powers of two below the number of cuts, largest first, each taken if the cut there is not above.
+    powers = F.reverse(F.transform(F.sequence(F.lit(0), F.length(F.bin(F.size("_cuts").cast("long"))) - 1), lambda i: F.call_function("shiftleft", F.lit(1), i)))
+    below = F.aggregate(
+        powers,
+        F.lit(0),
+        lambda at, step: F.when((at + step <= F.size("_cuts")) & (F.get("_cuts", at + step - 1) <= here), at + step).otherwise(at),
+    )
     return (
         df.join(F.broadcast(cuts), group, "left")
         .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(below))

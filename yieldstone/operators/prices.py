@@ -58,14 +58,22 @@ def previous_day(price: DataFrame, since: Column | None = None) -> DataFrame:
     return out if since is None else out.filter(F.col("_in")).drop("_in")
 
 
-def enriched(price: DataFrame) -> DataFrame:
+def enriched(price: DataFrame, since: Column | None = None) -> DataFrame:
     """Add moving averages of the close, 30-row volatility, running peak and drawdown.
 
     The averages are differences of one running sum instead of frames of 7, 30 and 120 rows; sums are
     exact decimals, so the differences are too. Early rows average what there is. Volatility is the
-    sample deviation of the adjusted one-day return.
+    sample deviation of the adjusted one-day return. Only rows from ``since`` on are returned: of the history before
+    it each ticker's last 120 rows are shuffled, the frames reach no further, and its peak as one number.
     """
     spans = (7, 30, 120)
+    peaks = None
+    if since is not None:
+        # one greatest value a ticker, and rows that a task ranks before the shuffle
+        peaks = price.filter(F.col("date") < since).groupBy("ticker").agg(F.max("adj_close").alias("_peak"))
+        newest_first = Window.partitionBy("ticker").orderBy(F.desc("date"))
+        before = price.filter(F.col("date") < since).withColumn("_rn", F.row_number().over(newest_first))
+        price = price.filter(F.col("date") >= since).unionByName(before.filter(F.col("_rn") <= max(spans) + 1).drop("_rn"))
     df = previous_day(price).withColumns(
         {
             "_sum": F.coalesce(F.sum(F.col("close").cast(EXACT)).over(_so_far()), F.lit(0).cast(EXACT)),
@@ -77,6 +85,9 @@ def enriched(price: DataFrame) -> DataFrame:
     lagged = {f"_sum{n}": F.lag("_sum", n).over(_by_day()) for n in spans}
     lagged |= {f"_cnt{n}": F.lag("_cnt", n).over(_by_day()) for n in spans}
     df = df.withColumns(lagged)
+    if peaks is not None:
+        df = df.filter(F.col("date") >= since).join(peaks, "ticker", "left")
+        df = df.withColumn("rolling_peak", F.greatest("rolling_peak", "_peak"))
 
     def average(n: int) -> Column:
         total = (F.col("_sum") - F.coalesce(f"_sum{n}", F.lit(0).cast(EXACT))).cast("double")
@@ -120,9 +131,11 @@ def period_returns(price: DataFrame, unit: str, period: str, first: str, last: s
 
 
 def newest_row(df: DataFrame, *newest: str) -> DataFrame:
-    """The row with the newest ``newest`` columns per ticker.
+    """The row with the newest ``newest`` columns per ticker; ties by the greatest of the other columns in turn.
 
-    Each task keeps one row per ticker before the shuffle, so it is cheap for a ticker with many rows.
+    The result doesn't depend on row order, and agrees with ``one_row_per_day`` on the newest day. Each task
+    keeps one row per ticker before the shuffle, so it is cheap for a ticker with many rows.
     """
-    w = Window.partitionBy("ticker").orderBy(*[F.desc(c) for c in newest])
+    rest = [c for c in df.columns if c not in newest and c != "ticker"]
+    w = Window.partitionBy("ticker").orderBy(*[F.desc(c) for c in (*newest, *rest)])
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")

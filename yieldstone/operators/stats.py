@@ -112,6 +112,20 @@ def collection_summary(
             F.sum("_rows").alias("price_rows"),
         )
     )
+    return _verdicts(dates, per_date, events, gate)
+
+
+def list_summary(dates: DataFrame, tickers: DataFrame, landed: DataFrame, events: DataFrame, gate: float = 0.9) -> DataFrame:
+    """The same where each date asks for one list of tickers, which is counted instead of being repeated per date."""
+    wanted = tickers.select("ticker").distinct()
+    asked = wanted.agg(F.count(F.lit(1))).scalar()
+    rows = landed.groupBy("date", "ticker").agg(F.count(F.lit(1)).alias("_rows")).join(wanted, "ticker", "left_semi")
+    found = rows.groupBy("date").agg(F.count(F.lit(1)).alias("ok"), F.sum("_rows").alias("price_rows"))
+    per_date = dates.select("date").distinct().withColumn("requested", asked).join(found, "date", "left")
+    return _verdicts(dates, per_date, events, gate)
+
+
+def _verdicts(dates: DataFrame, per_date: DataFrame, events: DataFrame, gate: float) -> DataFrame:
     counted = events.groupBy("date").agg(F.count(F.lit(1)).alias("events"))
     zero = F.lit(0).cast("bigint")
     asked, ok = F.coalesce("requested", zero), F.coalesce("ok", zero)

@@ -81,8 +81,13 @@ def full_backfill(
     skip_gold: bool = False,
     overwrite: bool = False,
     whole_membership: bool = True,
+    gate: float = 0.9,
 ) -> BackfillResult:
-    """Membership (point-in-time runs only), bronze, silver, gold over the weekdays of a range."""
+    """Membership (point-in-time runs only), bronze, silver, gold over the weekdays of a range.
+
+    A date of which less than ``gate`` of the tickers asked for is stored fails the bronze step. With ``overwrite``
+    the prices of the range are replaced and its silver dates computed anew.
+    """
     start, end = default_range(start, end)
     dates = trading_calendar(spark, start, end)
     result = BackfillResult()
@@ -106,16 +111,17 @@ def full_backfill(
         bronze = step(
             "bronze",
             lambda: point_in_time_job(
-                spark, sources.prices, sources.dividends, lake, dates, sources.base, overwrite
+                spark, sources.prices, sources.dividends, lake, dates, sources.base, overwrite, gate
             ),
             "success",
         )
     else:
         bronze = step(
             "bronze",
-            lambda: full_job(spark, sources.prices, sources.dividends, lake, dates, sources.base, overwrite),
+            lambda: full_job(spark, sources.prices, sources.dividends, lake, dates, sources.base, overwrite, gate),
+            "success",
         )
-    if not bronze or not step("silver", lambda: silver_backfill(spark, lake, start, end), "ok"):
+    if not bronze or not step("silver", lambda: silver_backfill(spark, lake, start, end, overwrite), "ok"):
         return result
     if not skip_gold:
         result.views = gold_views(spark, lake)
@@ -131,6 +137,7 @@ def incremental_backfill(
     *,
     point_in_time: bool,
     today: date | None = None,
+    gate: float = 0.9,
 ) -> BackfillResult:
     """The last ``days_back`` days, without gold; stored days outside them are left alone."""
     start, end = last_days(days_back, today)
@@ -143,4 +150,5 @@ def incremental_backfill(
         point_in_time=point_in_time,
         skip_gold=True,
         whole_membership=False,
+        gate=gate,
     )

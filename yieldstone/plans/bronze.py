@@ -9,27 +9,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.calendar import latest_dividend_date
+from ..operators.calendar import incremental_dividends
 from ..operators.membership import members_for_dates
-from ..operators.stats import collection_summary
+from ..operators.quality import clean_dividends, clean_prices, flag_dividends, flag_prices
+from ..operators.stats import collection_summary, list_summary
 from ..schemas import DIVIDEND, project
 from ..sources.landing import company_profile, dated_dividends, normalize_price_landing, pit_price_landing
 from ..sources.lake import Lake
-from ..sources.tables import append_dividends, write_parquet_zstd, write_price_if_absent, write_price_overwrite
-
+from ..sources.tables import (
+    append_dividends,
+    upsert_profiles,
+    write_price_if_absent,
+    write_price_overwrite,
+)
+
+#: How far back the very first run looks for events; later runs start at the high-water mark.
 FIRST_RUN_DAYS = 400
 
 
 def _collection_dates(dates: DataFrame) -> DataFrame:
-    """``(ex_date, date)``: for every day up to the last date, the first of the dates on or after it.
+    """``(_day, date)``: for every day from the first to the last date, the first of the dates on or after it.
 
-    Days before the first date belong to it, as far back as a first run reaches. One row per calendar
-    day, so a few thousand rows whatever the tables hold.
+    One row per calendar day, so a few thousand rows whatever the tables hold.
     """
     gap = Window.orderBy("date")
     spans = dates.select("date").distinct().withColumn("_after", F.lag("date").over(gap))
-    first = F.coalesce(F.date_add("_after", 1), F.date_sub("date", FIRST_RUN_DAYS))
-    return spans.select(F.explode(F.sequence(first, F.col("date"))).alias("ex_date"), "date")
+    first = F.coalesce(F.date_add("_after", 1), F.col("date"))
+    return spans.select(F.explode(F.sequence(first, F.col("date"))).alias("_day"), "date")
 
 
 def _of_tickers(df: DataFrame, tickers: DataFrame | None) -> DataFrame:
@@ -50,10 +56,22 @@ def price_job(
     dates: DataFrame,
     tickers: DataFrame | None = None,
     overwrite: bool = False,
-) -> None:
-    """Store the prices of the dates that are not stored yet; with ``overwrite``, of all of them."""
-    rows = normalize_price_landing(_of_tickers(landed, tickers))
-    _store_prices(spark, rows.join(dates.select("date"), "date", "left_semi"), lake, overwrite)
+    keep_flagged: bool = True,
+) -> DataFrame:
+    """Store the prices of the dates that are not stored yet; with ``overwrite``, of all of them.
+
+    Returns per date ``(date, rows_checked, not_positive, ohlc_broken, rows_flagged)`` of the landed rows. Rows that a
+    rule flags are stored like the others unless ``keep_flagged`` is off.
+    """
+    rows = normalize_price_landing(_of_tickers(landed, tickers)).join(dates.select("date"), "date", "left_semi")
+    _store_prices(spark, rows if keep_flagged else clean_prices(rows), lake, overwrite)
+    bad = F.col("not_positive") | F.col("ohlc_broken")
+    return flag_prices(rows).groupBy("date").agg(
+        F.count(F.lit(1)).alias("rows_checked"),
+        F.count_if("not_positive").alias("not_positive"),
+        F.count_if("ohlc_broken").alias("ohlc_broken"),
+        F.count_if(bad).alias("rows_flagged"),
+    )
 
 
 def dividend_job(
@@ -63,23 +81,34 @@ def dividend_job(
     dates: DataFrame,
     tickers: DataFrame | None = None,
     zone: str | None = "America/New_York",
-) -> None:
+    keep_flagged: bool = True,
+) -> DataFrame:
     """Store the events after the high-water mark, as daily runs over ``dates`` would.
 
-    An event gets the first of the dates on or after its ex-date as collection date. The mark is the
-    newest stored ex-date of all tickers; an empty store starts 400 days before the first date.
+    An event gets the first of the dates on or after its ex-date as collection date, also if it lies long
+    before them. The mark is the newest stored ex-date of all tickers; an empty store starts 400 days
+    before the first date. Returns per collection date ``(date, rows_checked, rows_flagged)``.
     """
-    mark = latest_dividend_date(lake.read_dividends(spark)).scalar()
-    first = dates.agg(F.min("date")).scalar()
-    since = F.coalesce(F.date_add(mark, 1), F.date_sub(first, FIRST_RUN_DAYS))
-    events = dated_dividends(_of_tickers(landed, tickers), zone).filter(F.col("ex_date") >= since).drop("date")
-    fresh = events.join(F.broadcast(_collection_dates(dates)), "ex_date")
-    append_dividends(spark, project(fresh, DIVIDEND), lake.dividends, dedupe=False)
-
-
-def profile_job(landed: DataFrame, lake: Lake, tickers: DataFrame | None = None) -> None:
-    """Replace the stored company profiles by the landed ones of the given tickers."""
-    write_parquet_zstd(company_profile(_of_tickers(landed, tickers)), lake.profiles)
+    stored = lake.read_dividends(spark)
+    span = dates.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    if span["lo"] is None:
+        return spark.createDataFrame([], "date date, rows_checked bigint, rows_flagged bigint")
+    landed_events = dated_dividends(_of_tickers(landed, tickers), zone).drop("date")
+    events = incremental_dividends(landed_events, stored, span["hi"], FIRST_RUN_DAYS, span["lo"])
+    on_day = F.greatest(F.col("ex_date"), F.lit(span["lo"]))
+    fresh = events.withColumn("_day", on_day).join(F.broadcast(_collection_dates(dates)), "_day")
+    fresh = project(fresh, DIVIDEND)
+    # The mark moves with the write, so the report is taken first; one row per date.
+    counts = flag_dividends(fresh).groupBy("date").agg(
+        F.count(F.lit(1)).alias("rows_checked"), F.count_if("bad_amount").alias("rows_flagged")
+    ).toArrow()
+    append_dividends(spark, fresh if keep_flagged else clean_dividends(fresh), lake.dividends, dedupe=False)
+    return spark.createDataFrame(counts, "date date, rows_checked bigint, rows_flagged bigint")
+
+
+def profile_job(spark: SparkSession, landed: DataFrame, lake: Lake, tickers: DataFrame | None = None) -> None:
+    """Put the landed profiles of the given tickers in the place of the stored ones; others stay."""
+    upsert_profiles(spark, company_profile(_of_tickers(landed, tickers)), lake.profiles)
 
 
 def full_job(
@@ -90,10 +119,22 @@ def full_job(
     dates: DataFrame,
     tickers: DataFrame | None = None,
     overwrite: bool = False,
-) -> None:
-    """Prices, then dividends."""
+    gate: float = 0.9,
+) -> DataFrame:
+    """Prices, then dividends; returns the per-date summary with its verdict.
+
+    Each date asks for every ticker of the list, or, without a list, for those landed on it. A date fails
+    if a smaller share of them than ``gate`` is stored.
+    """
     price_job(spark, landed_price, lake, dates, tickers, overwrite)
     dividend_job(spark, landed_dividends, lake, dates, tickers)
+    wanted = dates.select("date").distinct()
+    stored_price = lake.read_price(spark).join(wanted, "date", "left_semi")
+    stored_events = lake.read_dividends(spark).join(wanted, "date", "left_semi")
+    if tickers is not None:
+        return list_summary(wanted, tickers, stored_price, stored_events, gate)
+    asked = landed_price.select(F.col("date").cast("date").alias("date"), "ticker").distinct()
+    return collection_summary(wanted, asked, stored_price, stored_events, gate)
 
 
 def first_member_date(event_days: DataFrame, members: DataFrame, within_days: int) -> DataFrame:

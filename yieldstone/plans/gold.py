@@ -25,11 +25,8 @@ def price_timeseries_base(price: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def price_timeseries_enriched(price: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """The base columns with averages, volatility, peak and drawdown; 3 years.
-
-    The peak runs over the whole history, so the period is cut after the windows.
-    """
-    return enriched(price).filter(F.col("date") >= cutoff(price, as_of, months=36))
+    """The base columns with averages, volatility, peak and drawdown; 3 years. The peak is that of the whole history."""
+    return enriched(price, cutoff(price, as_of, months=36))
 
 
 def returns_monthly(price: DataFrame, as_of: AsOf = None) -> DataFrame:

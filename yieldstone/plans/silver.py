@@ -11,7 +11,7 @@ from ..functions.scalars import day
 from ..operators.calendar import pending_dates
 from ..operators.ttm import LOOKBACK_DAYS, dividend_metrics_daily
 from ..sources.lake import Lake
-from ..sources.tables import dividends_in_window, rows_for_date, upsert_silver
+from ..sources.tables import distinct_dates, dividends_in_window, rows_for_date, upsert_silver
 
 
 def silver_for_date(spark: SparkSession, lake: Lake, d: date | str) -> DataFrame:
@@ -23,22 +23,27 @@ def silver_for_date(spark: SparkSession, lake: Lake, d: date | str) -> DataFrame
 
 
 def silver_backfill(
-    spark: SparkSession, lake: Lake, start: date | str | None = None, end: date | str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    start: date | str | None = None,
+    end: date | str | None = None,
+    recompute: bool = False,
 ) -> DataFrame:
-    """Compute and store every bronze date that silver lacks, all in one job.
+    """Compute and store every bronze date that silver lacks, all in one job; with ``recompute`` every one of the range.
 
-    Returns ``(date, price_rows, metric_rows, ok)`` for the dates that were pending. Dates already
-    stored are not touched, and a rerun after a failure replaces what it writes.
+    Returns ``(date, price_rows, metric_rows, ok)`` for the dates that were computed. Other dates are not
+    touched, and a rerun after a failure replaces what it writes. Without stored dividends all yields are 0.
     """
     bronze = lake.read_price(spark, "error")
     if start is not None:
         bronze = bronze.filter(F.col("date") >= day(start))
     if end is not None:
         bronze = bronze.filter(F.col("date") <= day(end))
-    todo = [row["date"] for row in pending_dates(bronze, lake.read_metrics(spark)).orderBy("date").collect()]
+    pending = distinct_dates(bronze) if recompute else pending_dates(bronze, lake.read_metrics(spark))
+    todo = [row["date"] for row in pending.orderBy("date").collect()]
     # A list of dates is bounded by the calendar. As a literal it prunes partitions of both tables.
     price = bronze.filter(F.col("date").isin(todo))
-    events = lake.read_dividends(spark, "error")
+    events = lake.read_dividends(spark)
     if todo:
         reach = F.date_sub(day(todo[0]), LOOKBACK_DAYS)
         events = events.filter(F.col("ex_date").between(reach, day(todo[-1])))

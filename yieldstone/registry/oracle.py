@@ -6,8 +6,9 @@ functions, not the slices, sweeps and running sums that the Spark side uses.
 
 from __future__ import annotations
 
+from ..functions.scalars import NOT_TICKERS
+
 DAY = "DATE '1998-06-15'"
-FIRST, LAST = "DATE '1995-01-02'", "DATE '2001-11-04'"
 YEAR_START, YEAR_END = "DATE '1998-01-01'", "DATE '1998-12-31'"
 
 TRADES = """
@@ -57,9 +58,9 @@ changes AS (
 BASE = """
 base AS (SELECT s_name AS ticker FROM supplier WHERE s_suppkey % 3 = 0)"""
 
-WEEKDAYS = f"""
-days AS (SELECT CAST(d AS DATE) AS date
-         FROM generate_series({FIRST}, {LAST}, INTERVAL 1 DAY) g(d)),
+WEEKDAYS = """
+days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
+         FROM (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem) s),
 weekdays AS (SELECT date FROM days WHERE isodow(date) < 6)"""
 
 MEMBERS = """
@@ -100,11 +101,7 @@ utc_div AS (
          CAST(timezone('UTC', timezone('America/New_York', ex_ts)) AS DATE) AS ex_date
   FROM vendor_div)"""
 
-STOP = (
-    "'THE','AND','FOR','INC','CORP','LLC','LTD','CO','COMPANY','GROUP','HOLDINGS','INTERNATIONAL','SYSTEMS',"
-    "'SOLUTIONS','TECHNOLOGIES','COMMUNICATIONS','FINANCIAL','SERVICES','HEALTHCARE','PHARMACEUTICAL','ENERGY',"
-    "'UTILITIES','REAL','ESTATE','INVESTMENT','MANAGEMENT','PARTNERS','ADDED','REMOVED','REPLACED','CHANGE','CHANGES'"
-)
+STOP = ",".join(f"'{word}'" for word in NOT_TICKERS)
 
 
 def tokens(text: str) -> str:
@@ -172,12 +169,12 @@ forward AS (
   FROM (SELECT *, lead(adj_close, 21) OVER (PARTITION BY ticker ORDER BY date) AS ahead FROM price) t)"""
 
 # What the daily runs over all weekdays of the range store from landed vendor dividends.
-COLLECTED = f"""
+COLLECTED = """
 collected AS (
   SELECT ex_date, ticker, amount, amount_d,
          (SELECT min(w.date) FROM weekdays w WHERE w.date >= u.ex_date) AS date
   FROM utc_div u
-  WHERE ex_date BETWEEN {FIRST} - 400 AND (SELECT max(date) FROM weekdays))"""
+  WHERE ex_date BETWEEN (SELECT min(date) FROM weekdays) - 400 AND (SELECT max(date) FROM weekdays))"""
 
 SUMMARY = """
 summary AS (
@@ -253,8 +250,14 @@ LATEST = (
     "SELECT m.ticker, m.date AS metrics_date, m.last_price AS metrics_last_price, m.market_cap, m.dividend_ttm, "
     "m.dividend_yield_ttm, m.div_count_1y, m.last_div_date, p.date AS price_date, p.close AS latest_close, "
     "p.adj_close AS latest_adj_close FROM (SELECT * FROM metrics QUALIFY row_number() OVER "
-    "(PARTITION BY ticker ORDER BY date DESC) = 1) m LEFT JOIN (SELECT * FROM price WHERE {cut} QUALIFY row_number() "
-    "OVER (PARTITION BY ticker ORDER BY date DESC) = 1) p ON p.ticker = m.ticker"
+    "(PARTITION BY ticker ORDER BY date DESC) = 1) m LEFT JOIN (SELECT * FROM price WHERE {cut} QUALIFY "
+    "row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1) p ON p.ticker = m.ticker"
+)
+
+NEWEST_BAR = (
+    "row_number() OVER (PARTITION BY ticker ORDER BY date DESC, "
+    + ", ".join(f"{c} DESC NULLS LAST" for c in ("open", "high", "low", "close", "volume", "adj_close"))
+    + ")"
 )
 
 TOP = (
@@ -299,7 +302,9 @@ ORACLE: dict[str, str] = {
         VENDOR_DIV,
     ),
     "company_profile": PROFILE,
-    "company_profile_job": PROFILE + " WHERE c_custkey IN (SELECT o_custkey FROM orders)",
+    "company_profile_job": PROFILE
+    + " WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) UNION ALL SELECT c_name, 'renamed', '', FALSE, 0.0, 0.0, "
+    "NULL, NULL, NULL, 0, 0.0 FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
     "sorted_events": _sql("SELECT ex_date, ticker, amount, date FROM dividend ORDER BY ex_date, ticker", *E),
     "normalize_constituents": _sql(
         'SELECT symbol AS "Symbol", security AS "Security", sector AS "GICS Sector" '
@@ -307,7 +312,8 @@ ORACLE: dict[str, str] = {
         "FROM supplier) t"
     ),
     # Stored tables
-    "exists_for_date": _sql(
+    "exists_for_date": _sql(f"SELECT count(*) > 0 AS present FROM dividend WHERE ex_date = {DAY}", *E),
+    "dates_present": _sql(
         "SELECT d.date, d.date IN (SELECT ex_date FROM dividend) AS present FROM days d "
         "WHERE d.date BETWEEN (SELECT min(ex_date) FROM dividend) AND (SELECT max(ex_date) FROM dividend)",
         *E,
@@ -325,6 +331,11 @@ ORACLE: dict[str, str] = {
         + " FROM price",
         *P,
     ),
+    "append_dividends_same_day": _sql(
+        "SELECT ex_date, ticker, amount, date FROM dividend UNION ALL "
+        "SELECT ex_date, ticker, amount + 1, date FROM dividend WHERE year(ex_date) = 1997",
+        *E,
+    ),
     "append_dividends": _sql("SELECT ex_date, ticker, amount, date FROM dividend", *E),
     "upsert_silver_date": _sql(
         "SELECT "
@@ -379,7 +390,8 @@ FROM supplier"""
     ),
     "membership_on_date": _sql(f"SELECT * FROM members WHERE date = {DAY}", *MEM),
     "membership_in_range": _sql(f"SELECT * FROM members WHERE date BETWEEN {DAY} AND {YEAR_END}", *MEM),
-    "members_for_date": _sql(
+    "members_for_date": _sql(f"SELECT DISTINCT ticker FROM members WHERE date = {DAY}", *MEM),
+    "members_for_dates": _sql(
         f"SELECT date, ticker FROM members WHERE date BETWEEN {YEAR_START} AND {DAY} "
         "UNION ALL SELECT w.date, b.ticker FROM weekdays w CROSS JOIN base b "
         f"WHERE w.date BETWEEN DATE '1997-12-01' AND {YEAR_END} AND NOT w.date BETWEEN {YEAR_START} AND {DAY}",
@@ -532,6 +544,14 @@ FROM supplier"""
     "gold_price_latest": _sql(
         f"SELECT {PRICE_COLUMNS} FROM price QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1", *P
     ),
+    "gold_price_latest_ties": _sql(f"SELECT {PRICE_COLUMNS} FROM landed QUALIFY {NEWEST_BAR} = 1", TRADES, VENDOR),
+    "gold_metrics_latest_ties": _sql(
+        LATEST.format(cut="TRUE").replace("FROM price WHERE", "FROM landed WHERE").replace(
+            "row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1) p", NEWEST_BAR + " = 1) p"
+        ),
+        *M,
+        VENDOR,
+    ),
     "gold_metrics_latest": _sql(LATEST.format(cut="TRUE"), *M),
     "gold_dividend_calendar": _sql(
         "SELECT ex_date, ticker, amount, date AS collect_date FROM dividend "
@@ -622,6 +642,27 @@ FROM supplier"""
         TRADES,
         VENDOR,
     ),
+    "bronze_price_report": _sql(
+        "SELECT date, count(*) AS rows_checked, count(*) FILTER (o <= 0 OR high <= 0 OR l <= 0 OR close <= 0 OR volume < 0) "
+        "AS not_positive, count(*) FILTER (high < o OR high < close OR l > o OR l > close OR high < l) AS ohlc_broken, "
+        "count(*) FILTER (o <= 0 OR high <= 0 OR l <= 0 OR close <= 0 OR volume < 0 OR high < o OR high < close OR l > o "
+        "OR l > close OR high < l) AS rows_flagged FROM (SELECT *, CASE WHEN volume % 11 = 0 THEN -open ELSE open END AS o, "
+        "CASE WHEN volume % 7 = 0 THEN high + 1 ELSE low END AS l FROM landed) t SEMI JOIN weekdays USING (date) "
+        f"WHERE date BETWEEN {YEAR_START} AND {YEAR_END} GROUP BY date",
+        TRADES,
+        WEEKDAYS,
+        VENDOR,
+    ),
+    # The daily loop: the first run finds 400 days, the later one all since the newest event, each on its first day.
+    "dividend_job_resume": _sql(
+        "SELECT * FROM run1 UNION ALL SELECT ex_date, ticker, amount, (SELECT min(w.date) FROM weekdays w "
+        "WHERE w.date >= greatest(u.ex_date, DATE '2000-06-15')) AS date FROM utc_div u "
+        "WHERE ex_date > (SELECT max(ex_date) FROM run1) AND ex_date <= DATE '2000-07-14'",
+        TRADES,
+        WEEKDAYS,
+        VENDOR_DIV,
+        f"\nrun1 AS (SELECT ex_date, ticker, amount, {DAY} AS date FROM utc_div WHERE ex_date BETWEEN {DAY} - 400 AND {DAY})",
+    ),
     "bronze_full_job": _sql(
         f"SELECT ex_date, ticker, amount, {DAY} AS date FROM utc_div SEMI JOIN base USING (ticker) "
         f"WHERE ex_date BETWEEN {DAY} - 400 AND {DAY}",
@@ -675,6 +716,34 @@ WHERE date BETWEEN {YEAR_START} AND {YEAR_END}""",
         "\nstored_div AS (SELECT * FROM collected)",
         LANDED_METRICS,
     ),
+    "full_backfill_overwrite_job": _sql(
+        f"SELECT {METRIC_COLUMNS} FROM landed_metrics",
+        TRADES,
+        BASE,
+        WEEKDAYS,
+        VENDOR,
+        VENDOR_DIV,
+        "\nlanded_base AS (SELECT date, ticker, close * 2 AS close FROM landed SEMI JOIN weekdays USING (date) "
+        f"SEMI JOIN base USING (ticker) WHERE date BETWEEN {YEAR_START} AND {YEAR_END})",
+        f"\nstored_div AS (SELECT * FROM utc_div WHERE ex_date BETWEEN {YEAR_START} - 400 AND {YEAR_END})",
+        LANDED_METRICS,
+    ),
+    "pit_full_backfill_job": _sql(
+        f"SELECT {METRIC_COLUMNS} FROM landed_metrics",
+        TRADES,
+        CHANGES,
+        BASE,
+        WEEKDAYS,
+        MEMBERS,
+        VENDOR,
+        VENDOR_DIV,
+        f"\nroll AS (SELECT date, ticker FROM members WHERE date BETWEEN {YEAR_START} AND {YEAR_END})",
+        "\nlanded_base AS (SELECT v.* FROM vendor v SEMI JOIN roll r USING (date, ticker))",
+        "\nstored_div AS (SELECT v.ticker, CAST(v.ex_ts AS DATE) AS ex_date, v.amount_d FROM vendor_div v WHERE EXISTS "
+        "(SELECT 1 FROM roll r WHERE r.ticker = v.ticker AND r.date BETWEEN CAST(v.ex_ts AS DATE) "
+        "AND CAST(v.ex_ts AS DATE) + 400))",
+        LANDED_METRICS,
+    ),
     "incremental_backfill_job": _sql(
         f"SELECT {METRIC_COLUMNS} FROM landed_metrics",
         TRADES,

@@ -8,6 +8,7 @@ folder and return what is read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +34,6 @@ from ..sources.lake import Lake
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = date(1998, 6, 15)
-FIRST, LAST = date(1995, 1, 2), date(2001, 11, 4)
 YEAR_START, YEAR_END = date(1998, 1, 1), date(1998, 12, 31)
 
 QUERIES: dict[str, Query] = {}
@@ -63,7 +63,16 @@ def _stored(s: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return s.read.parquet(path)
 
 
-def _members(s: SparkSession, d: str, start: date = FIRST, end: date = LAST) -> DataFrame:
+def _span(s: SparkSession, d: str) -> tuple[date, date]:
+    """First and last day of the tables."""
+    days = fx.table(s, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"))
+    return tuple(days.agg(F.min("day"), F.max("day")).first())
+
+
+def _members(s: SparkSession, d: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    if start is None or end is None:
+        lo, hi = _span(s, d)
+        start, end = start or lo, end or hi
     return mem.membership_daily(fx.changes(s, d), fx.base_list(s, d), start, end)
 
 
@@ -122,7 +131,10 @@ def company_profile(s, d):
 def company_profile_job(s, d):
     lake, landed = _lake(s, "lake"), fx.profile_records(s, d)
     collected = fx.table(s, d, "orders").join(fx.table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    bronze.profile_job(landed, lake, collected.select(F.col("c_name").alias("ticker")).distinct())
+    some = collected.select(F.col("c_name").alias("ticker")).distinct()
+    bronze.profile_job(s, landed, lake)
+    bronze.profile_job(s, landed.withColumn("record", F.lit('{"longName": "renamed"}')), lake, some)
+    bronze.profile_job(s, landed, lake, some.limit(0))
     return _shown(lake.read_profiles(s))
 
 
@@ -141,6 +153,11 @@ def normalize_constituents(s, d):
 
 @query
 def exists_for_date(s, d):
+    return tab.exists_for_date(fx.dividends(s, d).select(F.col("ex_date").alias("date")), DAY)
+
+
+@query
+def dates_present(s, d):
     events = fx.dividends(s, d).select(F.col("ex_date").alias("date"))
     return tab.dates_present(events, cal.calendar_spanning(events, include_weekends=True))
 
@@ -170,6 +187,17 @@ def append_dividends(s, d):
     return _shown(tab.scan_table(s, path, DIVIDEND))
 
 
+@query
+def append_dividends_same_day(s, d):
+    """Special dividends on days that have an event already are landed later, and all of it once more."""
+    path, events = scratch_path(s, "dividends"), fx.dividends(s, d)
+    special = events.filter(F.year("ex_date") == 1997).withColumn("amount", F.col("amount") + 1)
+    tab.append_dividends(s, events.filter(_before("ex_date")), path)
+    tab.append_dividends(s, events.unionByName(special), path)
+    tab.append_dividends(s, special.unionByName(events), path)
+    return _shown(tab.scan_table(s, path, DIVIDEND))
+
+
 @query
 def upsert_silver_date(s, d):
     path, metrics = scratch_path(s, "silver"), _metrics(s, d)
@@ -267,6 +295,11 @@ def membership_in_range(s, d):
 
 @query
 def members_for_date(s, d):
+    return mem.members_for_date(_members(s, d, YEAR_START, DAY), DAY, fx.base_list(s, d))
+
+
+@query
+def members_for_dates(s, d):
     stored = _members(s, d, YEAR_START, DAY)
     dates = cal.trading_calendar(s, date(1997, 12, 1), YEAR_END)
     return mem.members_for_dates(dates, stored, fx.base_list(s, d))
@@ -293,7 +326,7 @@ def pit_price_filter(s, d):
 
 @query
 def membership_expand(s, d):
-    return mem.membership_expand(fx.changes(s, d), FIRST, LAST)
+    return mem.membership_expand(fx.changes(s, d), *_span(s, d))
 
 
 @query
@@ -382,7 +415,7 @@ def latest_dividend_date(s, d):
 
 @query
 def earliest_missing_date(s, d):
-    return cal.earliest_missing_date(_ex_dates(s, d), DAY, LAST)
+    return cal.earliest_missing_date(_ex_dates(s, d), DAY, _span(s, d)[1])
 
 
 @query
@@ -453,6 +486,22 @@ def gold_price_latest(s, d):
     return _shown(gold.price_latest_snapshot(_bars(s, d)))
 
 
+def _repeated_bars(s, d):
+    """Several rows a day, all of one ingest time."""
+    landed = fx.vendor_prices(s, d).withColumn("ingest_at", F.lit("2024-01-01").cast("timestamp"))
+    return land.normalize_price_landing(landed)
+
+
+@query
+def gold_price_latest_ties(s, d):
+    return _shown(gold.price_latest_snapshot(_repeated_bars(s, d)))
+
+
+@query
+def gold_metrics_latest_ties(s, d):
+    return _shown(gold.dividend_metrics_latest(_metrics(s, d), _repeated_bars(s, d)))
+
+
 @query
 def gold_metrics_latest(s, d):
     return _shown(gold.dividend_metrics_latest(_metrics(s, d), _bars(s, d)))
@@ -608,10 +657,10 @@ def incremental_dividends(s, d):
 
 
 def _bronze_lake(s, d, label):
-    """Stored bronze to read from. Unpartitioned: thousands of small folders are slow on a local disk."""
+    """Stored bronze to read from, in the lake's own layout."""
     lake = _lake(s, label)
-    tab.write_parquet_zstd(_bars(s, d), lake.price)
-    tab.write_parquet_zstd(fx.dividends(s, d), lake.dividends)
+    tab.write_price_overwrite(_bars(s, d), lake.price)
+    tab.append_dividends(s, fx.dividends(s, d), lake.dividends, dedupe=False)
     return lake
 
 
@@ -638,6 +687,27 @@ def bronze_price_job(s, d):
     return _shown(lake.read_price(s))
 
 
+@query
+def bronze_price_report(s, d):
+    """Rule counts per date of a landing with planted errors."""
+    v = F.col("Volume")
+    landed = fx.vendor_prices(s, d).withColumns(
+        {"Open": F.when(v % 11 == 0, -F.col("Open")).otherwise(F.col("Open")), "Low": F.when(v % 7 == 0, F.col("High") + 1).otherwise(F.col("Low"))}
+    )
+    return bronze.price_job(s, landed, _lake(s, "lake"), cal.trading_calendar(s, YEAR_START, YEAR_END))
+
+
+@query
+def dividend_job_resume(s, d):
+    """A run two years after the store's newest event, and the same run once more, which adds nothing."""
+    lake, landed = _lake(s, "lake"), fx.vendor_dividends(s, d)
+    late = cal.trading_calendar(s, date(2000, 6, 15), date(2000, 7, 14))
+    bronze.dividend_job(s, landed, lake, cal.trading_calendar(s, DAY, DAY))
+    bronze.dividend_job(s, landed, lake, late)
+    bronze.dividend_job(s, landed, lake, late)
+    return _shown(lake.read_dividends(s))
+
+
 @query
 def bronze_full_job(s, d):
     lake = _lake(s, "lake")
@@ -649,7 +719,7 @@ def bronze_full_job(s, d):
 @query
 def bronze_backfill_job(s, d):
     lake = _lake(s, "lake")
-    dates = cal.trading_calendar(s, FIRST, LAST)
+    dates = cal.trading_calendar(s, *_span(s, d))
     bronze.full_job(s, fx.vendor_prices(s, d), fx.vendor_dividends(s, d), lake, dates)
     prices = lake.read_price(s).groupBy("date").agg(F.count(F.lit(1)).alias("price_rows"))
     events = lake.read_dividends(s).groupBy("date").agg(F.count(F.lit(1)).alias("events"))
@@ -666,15 +736,15 @@ def pit_job(s, d):
 @query
 def pit_backfill_job(s, d):
     lake, base = _lake(s, "lake"), fx.base_list(s, d)
-    tab.write_parquet_zstd(_members(s, d, FIRST, DAY), lake.membership)
-    dates = cal.trading_calendar(s, FIRST, LAST)
+    tab.overwrite_membership_daily(_members(s, d, end=DAY), lake.membership)
+    dates = cal.trading_calendar(s, *_span(s, d))
     return bronze.point_in_time_job(s, fx.vendor_prices(s, d), fx.vendor_dividends(s, d), lake, dates, base, gate=0.2)
 
 
 @query
 def pit_backfill_dividends(s, d):
-    dates = cal.trading_calendar(s, FIRST, LAST)
-    members = mem.members_for_dates(dates, _members(s, d, FIRST, DAY), fx.base_list(s, d))
+    dates = cal.trading_calendar(s, *_span(s, d))
+    members = mem.members_for_dates(dates, _members(s, d, end=DAY), fx.base_list(s, d))
     return _shown(bronze.point_in_time_dividends(fx.vendor_dividends(s, d), members))
 
 
@@ -692,12 +762,29 @@ def _sources(s, d):
 @query
 def full_backfill_job(s, d):
     lake = _lake(s, "lake")
-    full_backfill(s, _sources(s, d), lake, FIRST, LAST, point_in_time=False)
+    full_backfill(s, _sources(s, d), lake, *_span(s, d), point_in_time=False, gate=0.0)
+    return _shown(lake.read_metrics(s))
+
+
+@query
+def full_backfill_overwrite_job(s, d):
+    """A second run with other closes reaches silver."""
+    lake, sources = _lake(s, "lake"), _sources(s, d)
+    full_backfill(s, sources, lake, YEAR_START, YEAR_END, point_in_time=False, gate=0.0, skip_gold=True)
+    again = replace(sources, prices=sources.prices.withColumn("Close", F.col("Close") * 2))
+    full_backfill(s, again, lake, YEAR_START, YEAR_END, point_in_time=False, gate=0.0, skip_gold=True, overwrite=True)
+    return _shown(lake.read_metrics(s))
+
+
+@query
+def pit_full_backfill_job(s, d):
+    lake = _lake(s, "lake")
+    full_backfill(s, _sources(s, d), lake, YEAR_START, YEAR_END, point_in_time=True, gate=0.0, skip_gold=True)
     return _shown(lake.read_metrics(s))
 
 
 @query
 def incremental_backfill_job(s, d):
     lake = _lake(s, "lake")
-    incremental_backfill(s, _sources(s, d), lake, 30, point_in_time=False, today=date(1998, 6, 16))
+    incremental_backfill(s, _sources(s, d), lake, 30, point_in_time=False, today=date(1998, 6, 16), gate=0.0)
     return _shown(lake.read_metrics(s))

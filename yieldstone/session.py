@@ -28,6 +28,12 @@ def build_session(app: str = "yieldstone", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job wrote for itself, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 

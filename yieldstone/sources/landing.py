@@ -48,14 +48,16 @@ def normalize_price_landing(raw: DataFrame, on_missing: str = "null") -> DataFra
     """Landed ``(ticker, date, Open, High, Low, Close, Volume[, Adj Close])`` to bronze prices.
 
     A (ticker, date) none of whose rows has a close counts as not collected and is dropped. Rows
-    with a close need no second look; only the rows without one are matched against the keys of
-    the others, so wide rows are not shuffled for this test.
+    with a close need no second look. Those without one are few: their keys pick the closed keys that
+    matter, so neither wide rows nor all closed keys are shuffled where the few can be broadcast.
     """
     df = _stamped(_renamed(require_columns(raw, ["ticker", "date"]), on_missing))
     df = project(df.withColumn("date", F.col("date").cast("date")), PRICE)
     closed = df.filter(F.col("close").isNotNull())
     unclosed = df.filter(F.col("close").isNull())
-    return closed.unionByName(unclosed.join(closed.select("ticker", "date"), ["ticker", "date"], "left_semi"))
+    key = ["ticker", "date"]
+    matched = closed.select(*key).join(unclosed.select(*key).distinct(), key, "left_semi").distinct()
+    return closed.unionByName(unclosed.join(matched, key, "left_semi"))
 
 
 def pit_price_landing(raw: DataFrame, on_missing: str = "zero") -> DataFrame:

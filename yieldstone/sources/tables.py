@@ -1,8 +1,9 @@
 """Stored tables: partitioned Parquet, ZSTD level 5, and the write semantics of each layer.
 
-Every write is one Spark job over a whole set of dates. Rows are distributed by the partition column,
-so that a day makes few files and many days are written side by side; a day with many rows is spread
-over several tasks. Inside a file rows are sorted by ticker, so that row-group statistics skip on it.
+Every write is one Spark job over a whole set of dates. Rows are rebalanced by the partition column: Spark
+gives each task its share of bytes at run time, several days to one task or one day to several. Inside a
+file rows are sorted by ticker, so that row-group statistics skip on it. NaN is made NULL when a table is
+written, so that reads are plain scans and filters on measures reach them.
 """
 
 from __future__ import annotations
@@ -15,13 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ..functions.scalars import day, nan_to_null
-from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, project
+from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, PROFILE, project
+from ..session import drop_path, scratch_path
 
 CHANGE_KEY = ["effective_date", "action", "ticker"]
-EVENT_KEY = ["ex_date", "ticker"]
-
-# About 150 MB of prices. A partition value with more rows is written by several tasks.
-ROWS_PER_FILE = 5_000_000
+EVENT_KEY = ["ex_date", "ticker", "amount"]
 
 
 def scan_table(spark: SparkSession, path: str, schema: StructType, missing: str = "error") -> DataFrame:
@@ -35,12 +34,12 @@ def scan_table(spark: SparkSession, path: str, schema: StructType, missing: str
         if missing == "empty" and err.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
-    return df.select(
-        *[
-            nan_to_null(F.col(f.name)).alias(f.name) if isinstance(f.dataType, DoubleType) else F.col(f.name)
-            for f in schema.fields
-        ]
-    )
+    return df.select(*schema.names)  # partition columns are read last
+
+
+def _without_nan(df: DataFrame) -> DataFrame:
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
+    return df.withColumns({name: nan_to_null(F.col(name)) for name in doubles})
 
 
 def rows_for_date(df: DataFrame, d: date | str | Column) -> DataFrame:
@@ -79,44 +78,13 @@ def without_stored(incoming: DataFrame, stored: DataFrame, key: list[str]) -> Da
     return left.join(right, on, "left_anti")
 
 
-def _sizes(df: DataFrame, partition: str) -> dict:
-    """Rows per partition value: one entry per day or year, however large the table.
-
-    This reads the partition column only; writers plan with it on the driver, so that dates become
-    literals, which prune partitions and reach the scan as filters.
-    """
-    return {row[0]: row[1] for row in df.groupBy(partition).agg(F.count(F.lit(1))).collect()}
-
-
-def _laid_out(
-    df: DataFrame, partition: str, sort: list[str], sizes: dict, rows_per_file: int = ROWS_PER_FILE
-) -> DataFrame:
-    """One task per partition value, several for a value with many rows, sorted inside."""
-    files = {value: -(-rows // rows_per_file) for value, rows in sizes.items()}
-    # With a stated number AQE keeps the tasks apart: many small files are best written side by side.
-    tasks = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(sum(files.values()), 1))
-    part, spread = F.lit(0).cast("bigint"), F.xxhash64(*[c for c in df.columns if c != partition])
-    for value, n in files.items():
-        if n > 1:
-            part = F.when(F.col(partition) == F.lit(value), F.pmod(spread, F.lit(n))).otherwise(part)
-    return df.repartition(tasks, F.col(partition), part).sortWithinPartitions(partition, *sort)
-
-
-def _write(
-    df: DataFrame,
-    path: str,
-    mode: str,
-    partition: str | None,
-    sort: list[str],
-    replace: str = "dynamic",
-    sizes: dict | None = None,
-) -> None:
+def _write(df: DataFrame, path: str, mode: str, partition: str | None, sort: list[str], replace: str = "dynamic") -> None:
     """``replace='dynamic'`` overwrites only the partitions that occur in the rows. No rows, no write."""
+    df = _without_nan(df)
+    if replace == "static" and mode == "overwrite" and df.isEmpty():
+        return  # it would empty the table
     if partition:
-        sizes = _sizes(df, partition) if sizes is None else sizes
-        if not sizes:
-            return
-        df = _laid_out(df, partition, sort, sizes)
+        df = df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *sort)
     writer = (
         df.write.mode(mode)
         .option("compression", "zstd")
@@ -127,22 +95,19 @@ def _write(
 
 
 def _append_new(spark: SparkSession, rows: DataFrame, path: str, schema: StructType, key: list[str]) -> None:
-    """Append rows whose key is not stored, looking only at partitions that can hold the key."""
-    partition = "year" if "year" in schema.names else "date"
-    sizes = _sizes(rows, partition)
-    if not sizes:
+    """Append rows whose key is not stored, looking only at stored rows that can hold one of the keys.
+
+    The first column of a key is a date; its least and greatest value in the rows bound the scan.
+    """
+    span = rows.agg(F.min(key[0]), F.max(key[0])).first()
+    if span[0] is None:
         return
-    stored = scan_table(spark, path, schema, missing="empty")
-    if key == [partition]:
-        present = {r[0] for r in stored.filter(F.col(partition).isin(list(sizes))).select(partition).distinct().collect()}
-        sizes = {value: n for value, n in sizes.items() if value not in present}
-        if present:
-            rows = rows.filter(F.col(partition).isin(list(sizes)))
-        _write(rows, path, "append", partition, ["ticker"], sizes=sizes)
-    else:
-        if partition == "year":  # the year follows from the key
-            stored = stored.filter(F.col(partition).isin(list(sizes)))
-        _write(without_stored(rows, stored, key), path, "append", partition, ["ticker"], sizes=sizes)
+    stored = scan_table(spark, path, schema, missing="empty").filter(F.col(key[0]).between(F.lit(span[0]), F.lit(span[1])))
+    partition = "date"
+    if "year" in schema.names:  # the year follows from the key
+        partition = "year"
+        stored = stored.filter(F.col("year").between(span[0].year, span[1].year))
+    _write(without_stored(rows, stored, key), path, "append", partition, ["ticker"])
 
 
 def write_price_if_absent(spark: SparkSession, incoming: DataFrame, path: str) -> None:
@@ -156,12 +121,41 @@ def write_price_overwrite(incoming: DataFrame, path: str) -> None:
 
 
 def append_dividends(spark: SparkSession, incoming: DataFrame, path: str, dedupe: bool = True) -> None:
-    """Append events; with ``dedupe`` an (ex_date, ticker) that is already stored is not added again."""
+    """Append events; with ``dedupe`` only what is not stored yet.
+
+    Events are the same if ex_date, ticker and amount agree. Of each the store then holds as many copies as it had
+    or as the batch brings, whichever is more; added copies carry the earliest collection date of the batch.
+    An event of another amount on a known day is a new one.
+    """
     rows = project(incoming, DIVIDEND)
-    if dedupe:
-        _append_new(spark, rows, path, DIVIDEND, EVENT_KEY)
-    else:
+    if not dedupe:
         _write(rows, path, "append", "date", ["ticker"])
+        return
+    span = rows.agg(F.min("ex_date"), F.max("ex_date")).first()
+    if span[0] is None:
+        return
+    brought = rows.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("date", "ingest_at")).alias("_first"))
+    stored = scan_table(spark, path, DIVIDEND, missing="empty").filter(F.col("ex_date").between(F.lit(span[0]), F.lit(span[1])))
+    had = stored.groupBy(*EVENT_KEY).agg(F.count(F.lit(1)).alias("_had")).alias("s")
+    same = None
+    for name in EVENT_KEY:
+        agrees = F.col(f"b.{name}").eqNullSafe(F.col(f"s.{name}"))
+        same = agrees if same is None else same & agrees
+    more = F.col("_n") - F.coalesce("_had", F.lit(0))
+    added = brought.alias("b").join(had, same, "left").filter(more > 0)
+    copies = added.select("b.ex_date", "b.ticker", "b.amount", "_first.*", F.explode(F.sequence(F.lit(1).cast("long"), more)))
+    _write(project(copies, DIVIDEND), path, "append", "date", ["ticker"])
+
+
+def upsert_profiles(spark: SparkSession, profiles: DataFrame, path: str) -> None:
+    """Replace the stored rows of the tickers that occur in ``profiles``, keep the others; no rows is a no-op."""
+    rows = project(profiles, PROFILE)
+    kept = scan_table(spark, path, PROFILE, missing="empty").join(rows.select("ticker"), "ticker", "left_anti")
+    merged = scratch_path(spark, "profiles")  # a table can't be read and replaced by one job
+    _write(project(kept, PROFILE).unionByName(rows), merged, "overwrite", None, [])
+    if not rows.isEmpty():
+        _write(spark.read.schema(PROFILE).parquet(merged), path, "overwrite", None, [])
+    drop_path(spark, merged)
 
 
 def upsert_silver(metrics: DataFrame, path: str) -> None:
