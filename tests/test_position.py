@@ -60,3 +60,17 @@ def test_median(spark, n):
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     assert exact_median(df, "v", "m", sample_bits=1).first()["m"] == statistics.median(values)
     assert Counter(values).total() == n
+
+
+def test_cost_does_not_grow_with_the_number_of_slices(spark):
+    """5,000 cuts and more in one group: each row is placed by a binary search."""
+    import time
+
+    df = spark.range(80_000).selectExpr("1 AS g", "pmod(xxhash64(id), 1000003) / 7 AS v", "id AS t")
+    began = time.perf_counter()
+    got = row_number_in(df, "g", ["v", "t"], "rn", sample_bits=3, max_cuts=8000).cache()
+    assert got.agg(F.countDistinct("rn"), F.max("rn")).first() == (80_000, 80_000)
+    assert time.perf_counter() - began < 60
+    wrong = got.alias("a").join(got.alias("b"), F.expr("a.rn + 1 = b.rn")).where("a.v > b.v OR (a.v = b.v AND a.t > b.t)")
+    assert wrong.isEmpty()
+    got.unpersist()
