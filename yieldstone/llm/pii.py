@@ -29,7 +29,7 @@ _NUMBERS = re.compile(
     r"(?P<iban>[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})"
     r"|(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}(?:\.[0-9]{1,2}\.|/[0-9]{1,2}/)[0-9]{4})"
     r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})"
-    r"|(?P<ipv4>[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9]))"
+    r"|(?P<ipv4>(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9]))"
     r"|(?P<phone>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
     r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}([-.])[0-9]{3}\6[0-9]{4})"
     r"|(?P<card>[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\8[0-9]{4}\8[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\9[0-9]{5})"

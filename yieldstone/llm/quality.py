@@ -150,7 +150,7 @@ def _gathered(docs: DataFrame, text: str) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([f.tobytes() for f in found], pa.binary())], ["row"])
 
     rows = docs.select(text).mapInArrow(run, "row binary").toArrow()["row"].to_pylist()
-    return np.array([np.frombuffer(r, np.float32) for r in rows]).reshape(len(rows), -1)
+    return np.array([np.frombuffer(r, np.float32) for r in rows]).reshape(len(rows), len(statistics(None)))
 
 
 def train(docs: DataFrame, positives: DataFrame, unlabelled: Column, ident: str = "doc_id", text: str = "text") -> Model | None:
