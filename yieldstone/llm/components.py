@@ -16,8 +16,8 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
     shuffle, so a node with very many links is no single task's work, and each round is stored, which keeps plans short.
     """
     edges = links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi <> lo").distinct()
-    edges, turn, before = scratch.keep(edges, "links0"), 0, None
-    while True:
+    edges, turn = scratch.keep(edges, "links0"), 0
+    while not _are_stars(edges):
         turn += 1
         both = edges.union(edges.select("lo", "hi")).toDF("node", "near")
         least = both.groupBy("node").agg(F.min("near").alias("least")).select("node", F.least("node", "least").alias("least"))
@@ -27,10 +27,12 @@ def connected(links: DataFrame, scratch: Scratch) -> DataFrame:
         small = large.join(down, "hi").select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
         small = small.union(down.select("hi", "least")).where("hi <> lo").distinct()
         edges = scratch.keep(small, f"links{turn}")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
-    return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
-        edges.select(F.col("lo").alias("node"), F.col("lo").alias("component"))
-    ).groupBy("node").agg(F.min("component").alias("component"))
+    ends = edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+    return ends.union(edges.select("lo", "lo").distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node has two lower ends, or one while it is the lower end of another link itself."""
+    up = edges.select(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    roles = up.union(edges.select("lo", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.where("up > 1 OR up > 0 AND down > 0").isEmpty()
