@@ -13,7 +13,13 @@ def spark():
     session = build_session(
         "tests",
         "local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"},
+        **{
+            # small tables are written by four tasks, not by one
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.driver.memory": "6g",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
