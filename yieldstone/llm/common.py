@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,11 +27,12 @@ def whole_text(df: DataFrame, column: str = "text") -> Column:
 class Scratch:
     """Tables written once under the shared folder, so that a lost executor costs no recomputation.
 
-    ``drop`` removes those an operator no longer needs; what its result reads stays.
+    ``result`` stores an operator's result and removes the tables that went into it.
     """
 
     def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label, self.paths = spark, label, []
+        self.spark, self.label = spark, label
+        self.paths: list[str] = []
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"{self.label}-{name}")
@@ -39,8 +40,14 @@ class Scratch:
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def result(self, df: DataFrame) -> DataFrame:
+        before, self.paths = self.paths, []
+        stored = self.keep(df, "result")
+        for path in before:
+            drop_path(self.spark, path)
+        return stored
+
     def drop(self) -> None:
         for path in self.paths:
-            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+            drop_path(self.spark, path)
         self.paths = []

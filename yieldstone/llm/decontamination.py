@@ -332,7 +332,7 @@ def decontaminate(
     near_items = close.groupBy("row").agg(F.count(F.lit(1)).alias("n_near_items"))
     marks = hits.join(near_items, "row", "full")
     named = F.array_join(F.array_sort(F.coalesce("items", F.array().cast("array<string>"))), ",")
-    return index_documents(index, ident).join(marks, "row", "left").select(
+    judged = index_documents(index, ident).join(marks, "row", "left").select(
         ident,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
@@ -341,6 +341,7 @@ def decontaminate(
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"),
     )
+    return scratch.result(judged)
 
 
 def items_digest(items: Sequence[object]) -> str:

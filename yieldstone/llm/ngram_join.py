@@ -410,12 +410,12 @@ def similar_components(docs: DataFrame, ident: str = "doc_id", text: str = "text
         return placed.join(split.where("size > most"), "entry").withColumn("rest", F.col("size") - F.col("most"))
 
     tested = parts = None
-    before, turn = None, 0
+    before = turn = 0
     while True:
         rows = scratch.keep(open_rows(parts), f"open{turn}")
         # rows that a join of the smaller parts with all others would make
         work, count = rows.agg(F.sum(F.when(F.col("part") != F.col("main"), F.col("size"))), F.count(F.lit(1))).first()
-        if not count or work <= 4 * count or (before is not None and work > before / 2):
+        if not count or (turn and (work <= 4 * count or work > before / 2)):
             break
         pairs = scratch.keep(_partners(rows, turn, tested), f"partners{turn}")
         fresh = links(pairs, f"links{turn}")
@@ -435,9 +435,9 @@ def similar_components(docs: DataFrame, ident: str = "doc_id", text: str = "text
 
     nodes = members.join(parts, "node", "left").select("ident", "node", "n", F.coalesce("component", "node").alias("part"))
     least = nodes.where("n > 0").groupBy("part").agg(F.min("ident").alias("least"))
-    result = nodes.join(least, "part", "left").select(
+    whole = nodes.join(least, "part", "left").select(
         F.col("ident").alias(ident),
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("ident")).alias("component_id"),
     )
-    return result
+    return scratch.result(whole)

@@ -22,8 +22,6 @@ from pyspark.sql import types as T
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
-KINDS = ["iban", "date", "ssn", "ipv4", "phone", "card", "email"]
-
 _NUMBERS = re.compile(
     r"(?<![A-Za-z0-9_])(?:"
     r"(?P<iban>[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})"

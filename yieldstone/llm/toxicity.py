@@ -142,7 +142,7 @@ def run_chain(models: Sequence[np.ndarray], marks: Sequence[Sparse]) -> np.ndarr
     return np.column_stack(out)
 
 
-def _telling_marks(sample: DataFrame, text: str, categories: Sequence[str]) -> list[list[int]]:
+def _telling_marks(sample: DataFrame, text: str, categories: Sequence[str], scratch: Scratch) -> list[list[int]]:
     """For each category the marks that its texts have more often than expected, the most telling first."""
     n = len(categories)
 
@@ -163,7 +163,7 @@ def _telling_marks(sample: DataFrame, text: str, categories: Sequence[str]) -> l
     names = ["mark", *(f"{x}{c}" for c in range(n) for x in ("seen", "own"))]
     rows = sample.select(text, *categories).mapInArrow(counted, ", ".join(f"{x} long" for x in names))
     sums = rows.groupBy("mark").agg(*[F.sum(x).alias(x) for x in names[1:]])
-    sums = Scratch(sample.sparkSession, "toxicity").keep(sums.where(" or ".join(f"own{c} >= {LEAST_TEXTS}" for c in range(n))), "marks")
+    sums = scratch.keep(sums.where(" or ".join(f"own{c} >= {LEAST_TEXTS}" for c in range(n))), "marks")
     found = []
     for c, name in enumerate(categories):
         share = sample.agg(F.avg(name)).first()[0] or 0.0
@@ -188,7 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], ident:
     # at most TRAIN_ROWS ids with their labels
     sample = docs.select(ident, text).join(F.broadcast(chosen), ident).select(text, *categories, fold.alias("__fold"))
     sample = scratch.keep(sample.repartition(16), "sample")
-    telling = _telling_marks(sample, text, categories)
+    telling = _telling_marks(sample, text, categories, scratch)
     places = [{m: i for i, m in enumerate(marks)} for marks in telling]
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,6 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], ident:
 
     types = ", ".join(f"`{c}` {dict(sample.dtypes)[c]}" for c in categories)
     rows = sample.select(text, *categories, "__fold").mapInArrow(present, f"found array<long>, {types}, __fold int").toArrow()
+    scratch.drop()
     if not rows.num_rows:
         return None
     found = rows["found"].to_pylist()
