@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,26 @@ def whole_text(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column], F.lit(""))
 
 
+#: Rows that go to Python at once where whole texts do, so that long ones don't add up.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions of a DataFrame that run all their jobs themselves: batches for Python are small meanwhile."""
+
+    @wraps(run)
+    def wrapped(docs: DataFrame, *args, **options) -> DataFrame:
+        conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(key)
+        conf.set(key, str(BATCH_ROWS))
+        try:
+            return run(docs, *args, **options)
+        finally:
+            conf.set(key, before)
+
+    return wrapped
+
+
 class Scratch:
     """Tables written once under the shared folder, so that a lost executor costs no recomputation.
 

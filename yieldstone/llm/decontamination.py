@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, in_small_batches
 
 WINDOW = 10
 #: Words of a segment before it is closed; a document is never cut, so a longer one is a segment by itself.
@@ -300,6 +300,7 @@ def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int = B
         yield [(r["i"], r["t"]) for r in rows.collect()]
 
 
+@in_small_batches
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", item: str = "item_id", window: int = WINDOW, near: int | None = NEAR
 ) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, in_small_batches
 from .components import connected
 from .shingles import Shingler, mixed, set_digest
 
@@ -39,7 +39,7 @@ FILTER_BITS = 1 << 24
 #: Other nodes that a node is compared with in one turn, before what is left is compared completely.
 PARTNERS = 8
 #: Postings that a task gathers before it hands them on.
-FLUSH = 1_000_000
+FLUSH = 500_000
 
 
 def required(n: int) -> int:
@@ -362,6 +362,7 @@ def _partners(rows: DataFrame, turn: int, tested: DataFrame | None) -> DataFrame
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
+@in_small_batches
 def similar_components(docs: DataFrame, ident: str = "doc_id", text: str = "text", size: int = 5) -> DataFrame:
     """``ident``, ``n_shingles``, ``component_id``: the least ident reachable over links of similarity 0.8 or more.
 

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Bytes of text that are hashed together.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
