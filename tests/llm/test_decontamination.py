@@ -79,6 +79,36 @@ def test_proximity_is_found_in_any_order(spark):
     assert got == {1: (1, False), 2: (0, False), 3: (0, True)}
 
 
+def brute_near(docs, items, window=10, near=15):
+    """Items that are matched by proximity only, counted in every stretch of every document."""
+    for doc, text in docs:
+        w, found = words(text), set()
+        stretches = [set(w[i : i + near]) for i in range(len(w))]
+        for item, body in items:
+            b = words(body)
+            parts = [b[i : i + window] for i in range(max(1, len(b) - window + 1) if b else 0)]
+            if any(set(p) <= s for p in parts for s in stretches) and not any(w[i : i + len(p)] == p for p in parts for i in range(len(w))):
+                found.add(item)
+        yield doc, len(found)
+
+
+def test_proximity_keeps_to_its_document(spark):
+    ten = "a b c d e f g h i j"
+    docs = [(1, "j i h g f e d c b a"), (2, "x x a b c d e"), (3, "f g h i j x x"), (4, "a x x a b c d e f g h j i"), (5, ""),
+            (6, "two words"), (7, "words two"), (8, "words"), (9, "two"), (10, "j i h g f e d c b a " + "x " * 40), (11, "words " + "x " * 13 + "two"),
+            (12, "words " + "x " * 14 + "two"), (13, "b a c d e f g h i " + "x " * 5 + "j i")]
+    items = [(1, ten), (2, "two words"), (3, "words")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    wanted = sorted(brute_near(docs, items))
+    assert dict(wanted)[1] == dict(wanted)[4] == dict(wanted)[7] == 1 and dict(wanted)[2] == dict(wanted)[3] == dict(wanted)[12] == 0
+    for order in (docs, docs[::-1]):
+        frame = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)  # all in one segment
+        assert sorted((r["doc_id"], r["n_near_items"]) for r in dec.decontaminate(frame, bench).collect()) == wanted
+    spans = dec.find_matches(dec.build_index(frame), dec.items_of(items[:2]), "bigint").where("kind = 'near'").collect()
+    at = {len(docs) - r["row"]: (r["low"], r["high"]) for r in spans}
+    assert at[1] == at[10] == (0, 10) and at[4] == (3, 13) and at[7] == (0, 2) and at[11] == (0, 15) and at[13] == (0, 15)
+
+
 def test_result_types(spark):
     shape = small(spark, [(1, "a")], [(1, "a")]).schema
     assert shape["n_words"].dataType == T.LongType() and shape["contaminated"].dataType == T.BooleanType()

@@ -155,27 +155,29 @@ def phrase_starts(lists: Sequence[np.ndarray]) -> np.ndarray:
     return starts
 
 
-def near_stretches(lists: Sequence[np.ndarray], within: int) -> np.ndarray:
-    """First positions of stretches of at most ``within`` words that hold a word of every list (any order)."""
+def near_stretches(lists: Sequence[np.ndarray], starts: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last positions of the shortest stretches that hold a word of every list (any order).
+
+    A stretch has at most ``within`` words and lies in one document; ``starts`` are the documents' first positions.
+    """
     order = sorted(lists, key=len)
     anchors = order[0]
+    if len(order) == 1:
+        return anchors, anchors
     for other in order[1:]:
         if not len(anchors):
-            return anchors
+            return anchors, anchors
         low = np.searchsorted(other, anchors - within + 1)
         high = np.searchsorted(other, anchors + within - 1, "right")
         anchors = anchors[low < high]
-    found = []
-    for anchor in anchors:
-        near = [(int(p), w) for w, o in enumerate(order) for p in o[np.searchsorted(o, anchor - within + 1) : np.searchsorted(o, anchor + within - 1, "right")]]
-        near.sort()
-        last: dict[int, int] = {}
-        for p, w in near:
-            last[w] = p
-            if len(last) == len(order) and p - min(last.values()) < within:
-                found.append(min(last.values()))
-                break
-    return np.array(found, np.int64)
+    lasts = np.unique(anchors[:, None] + np.arange(within))  # where a stretch with an anchor may end
+    firsts = lasts.copy()
+    for other in order:
+        at = np.searchsorted(other, lasts, "right") - 1
+        firsts = np.minimum(firsts, np.where(at < 0, -within, other[at]))
+    fits = (lasts - firsts < within) & (firsts >= starts[np.searchsorted(starts, lasts, "right") - 1])
+    firsts, shortest = np.unique(firsts[fits], return_index=True)
+    return firsts, lasts[fits][shortest]
 
 
 def _merged(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -194,15 +196,14 @@ def _merged(starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
 def _matches(lists: dict[int, np.ndarray], starts: np.ndarray, items: list, window: int, near: int | None) -> Iterator[tuple]:
     """(document's place, item, kind, from, to) with merged spans of words, for one segment."""
 
-    def spans(found: list[np.ndarray], length: int, item, kind: str) -> Iterator[tuple]:
-        at = np.concatenate(found) if found else np.empty(0, np.int64)
-        if not len(at):
+    def spans(found: list[tuple[np.ndarray, np.ndarray]], item, kind: str) -> Iterator[tuple]:
+        if not found:
             return
+        at, end = (np.concatenate(x) for x in zip(*found, strict=True))
         doc = np.searchsorted(starts, at, "right") - 1
-        local = at - starts[doc]
         for d in np.unique(doc):
-            own = local[doc == d]
-            for a, b in _merged(own, own + length):
+            own = doc == d
+            for a, b in _merged(at[own] - starts[d], end[own] - starts[d]):
                 yield int(d), item, kind, a, b
 
     nothing = np.empty(0, np.int64)
@@ -214,14 +215,14 @@ def _matches(lists: dict[int, np.ndarray], starts: np.ndarray, items: list, wind
         for w in range(len(keys) - length + 1):
             if not here[w : w + length].all():
                 continue
-            exact.append(phrase_starts(terms[w : w + length]))
-            if near and length == window:
+            at = phrase_starts(terms[w : w + length])
+            exact.append((at, at + length))
+            if near:
                 distinct = {int(k): t for k, t in zip(keys[w : w + length], terms[w : w + length], strict=True)}
-                at = near_stretches(list(distinct.values()), near)
-                if len(at):  # a stretch must not reach into the next document
-                    close.append(at[np.searchsorted(starts, at, "right") == np.searchsorted(starts, at + near - 1, "right")])
-        yield from spans(exact, length, item, "phrase")
-        yield from spans(close, near or 0, item, "near")
+                first, last = near_stretches(list(distinct.values()), starts, near)
+                close.append((first, last + 1))
+        yield from spans(exact, item, "phrase")
+        yield from spans(close, item, "near")
 
 
 def find_matches(index: DataFrame, items: list, item_type: str, window: int = WINDOW, near: int | None = NEAR) -> DataFrame:
@@ -308,7 +309,8 @@ def decontaminate(
 
     A window is ``window`` consecutive words of an item; an item with fewer words is one window. Columns: ident,
     ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` (of the item ids sorted as strings and comma-joined),
-    ``contaminated``, and ``n_near_items``, items with a proximity match that aren't matched as a phrase.
+    ``contaminated``, and ``n_near_items``, items with a proximity match that aren't matched as a phrase: all distinct
+    words of a window lie, in any order, in a stretch of at most ``near`` words of the document.
     Null and empty texts have no words and no hits; an item without words has no window; repeated rows each get
     their result, repeated items count once by their id; items with a null id are left out; an empty table on either side
     gives no hits or no rows. Other columns aren't read.
