@@ -37,6 +37,28 @@ _EMAIL = re.compile(
     r"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]{1,64}+)@(?P<domain>(?:[A-Za-z0-9-]{1,63}+\.)+[A-Za-z]{2,24})(?![A-Za-z0-9_-])"
 )
 
+#: Letters and digits of an IBAN by country, as registered.
+IBAN_SIZES = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+#: Least and most national digits by country code; no code begins another.
+PHONE_SIZES = {
+    "1": (10, 10), "7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9),
+    "36": (8, 9), "39": (6, 11), "40": (9, 9), "41": (9, 9), "43": (5, 13), "44": (9, 10), "45": (8, 8), "46": (7, 9), "47": (8, 8),
+    "48": (9, 9), "49": (5, 11), "51": (8, 9), "52": (10, 10), "54": (10, 11), "55": (10, 11), "56": (9, 9), "57": (10, 10), "60": (8, 10),
+    "61": (9, 9), "62": (8, 12), "63": (9, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10), "82": (8, 10), "84": (9, 10),
+    "86": (10, 11), "90": (10, 10), "91": (10, 10), "92": (9, 10), "351": (9, 9), "353": (7, 9), "354": (7, 9), "358": (5, 12),
+    "359": (8, 9), "380": (9, 9), "385": (8, 9), "386": (8, 8), "420": (9, 9), "421": (9, 9), "852": (8, 8), "886": (8, 9), "966": (8, 9),
+    "971": (8, 9), "972": (8, 9),
+}
+
 
 class Feistel:
     """A keyed permutation of 0 .. size - 1, for any size: a network on a * b >= size, walked until inside."""
@@ -204,6 +226,36 @@ _RULES: dict[str, Callable[[Feistel, str], str | None]] = {
 }
 
 
+def _borders(text: str) -> list[str]:
+    """The text and what is left of it when groups are taken off its end, longest first."""
+    return [text, *(text[: m.start()] for m in reversed(list(re.finditer("[ .-]", text))))]
+
+
+def _iban_cuts(text: str) -> list[str]:
+    """What the country's length leaves, else the whole; all that end with a group if the country isn't known."""
+    size, cuts = IBAN_SIZES.get(text[:2]), _borders(text)
+    return cuts if size is None else [c for c in cuts if len(c.replace(" ", "")) == size] + cuts[:1]
+
+
+def _phone_cuts(text: str) -> list[str]:
+    """First the longest of as many national digits as the country code allows, a leading zero not counted."""
+    cuts, bare = _borders(text), re.sub("[^0-9+]", "", text)
+    code = next((c for c in PHONE_SIZES if bare.startswith("+" + c)), None)
+    if code is None:
+        return cuts
+    low, high = PHONE_SIZES[code]
+
+    def fits(cut: str) -> bool:
+        digits = re.sub("[^0-9]", "", cut)[len(code) :]
+        return low <= len(digits) <= high or (code not in ("1", "39") and digits[:1] == "0" and low < len(digits) <= high + 1)
+
+    return [c for c in cuts if fits(c)] + [c for c in cuts if not fits(c)]
+
+
+#: A pattern may take in groups that follow the value: what may be the value instead, tried in this order.
+_CUTS: dict[str, Callable[[str], list[str]]] = {"iban": _iban_cuts, "phone": _phone_cuts}
+
+
 def replace_pii(text: str, f: Feistel) -> tuple[str, dict[str, int]]:
     """The text with pseudonyms, and how many values of each kind were replaced. Linear in the text."""
     counts: dict[str, int] = {}
@@ -216,13 +268,16 @@ def replace_pii(text: str, f: Feistel) -> tuple[str, dict[str, int]]:
     out, done, at = [], 0, 0
     while found := _NUMBERS.search(text, at):
         kind = found.lastgroup
-        new = _RULES[kind](f, found.group())
-        if new is None:
+        for cut in _CUTS[kind](found.group()) if kind in _CUTS else [found.group()]:
+            new = _RULES[kind](f, cut)
+            if new is not None:
+                break
+        else:
             at = found.start() + 1
             continue
         counts[kind] = counts.get(kind, 0) + 1
         out += [text[done : found.start()], new]
-        done = at = found.end()
+        done = at = found.start() + len(cut)
     return ("".join(out) + text[done:] if out else text), counts
 
 
