@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldstone.llm import decontamination, ngram_join, pii
@@ -20,29 +20,38 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(F.coalesce("p_toxic", F.lit(0.0)) < 0.5).select(*docs.columns)
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """A digest of id and text, which may be null, so that rows are told apart whatever their ids are."""
+    text = F.coalesce(F.md5(docs["text"]), F.lit(""))
+    ident = F.coalesce(F.concat(F.lit("="), docs["doc_id"].cast("string")), F.lit(""))
+    return F.unhex(F.md5(F.concat(text, ident)))
+
+
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar texts the document with the smallest id, once if its row is repeated.
+    """Of each component of similar texts one row: that with the smallest id, of these that with the smallest digest.
 
-    Rows that share that id but not the text all stay.
+    Null ids come last. Each row belongs to the component of its own text, also if other rows share its id.
     """
-    least = ngram_join.similar_components(docs).where("doc_id <=> component_id")
-    kept = Scratch(spark, "pipeline").keep(least.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")), "kept")
-    once = _with_ids(docs, kept.where("rows = 1"))
+    no_id = F.when(docs["doc_id"].isNull(), F.lit(1))  # in the order of structs nulls are first
+    rows = docs.select(F.struct(no_id.alias("no_id"), "doc_id", _row_key(docs).alias("key")).alias("row"), "text")
+    least = ngram_join.similar_components(rows, ident="row").where("row <=> component_id")
+    kept = Scratch(spark, "pipeline").keep(least.groupBy("row.key").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    once = _with_keys(docs, kept.where("rows = 1"), "left_semi")
     again = kept.where("rows > 1")
     if again.isEmpty():
         return once
-    return once.unionByName(_with_ids(docs, again).dropDuplicates(["doc_id", "text"]))
+    return once.unionByName(_with_keys(docs, again, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+def _with_keys(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    return docs.join(keys, _row_key(docs) == keys["key"], how)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item; an id with such a text goes with all its rows."""
-    judged = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"), near=None)
-    hit = judged.where("contaminated").select("doc_id").distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["doc_id"]), "left_anti")
+    """Documents without a window of a benchmark item, each row judged by its own text."""
+    rows = docs.select(_row_key(docs).alias("key"), "text")
+    judged = decontamination.decontaminate(rows, table(spark, sf_dir, "benchmark"), ident="key", near=None)
+    return _with_keys(docs, judged.where("contaminated").select("key").distinct(), "left_anti")
 
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,3 +76,23 @@ def test_stages_take_odd_tables(spark, tmp_path):
         wanted = [1, 2, 3, 5, None] if name == "ngram_join" else [1, 2, 3, 3, 4, 5, None]
         assert sorted(set(ids), key=str) == sorted(set(wanted), key=str) and (name == "packing" or len(ids) == len(wanted))
         assert stage(spark, frame.limit(0), str(tmp_path)).count() == 0
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 100").first()["text"]
+    clean = [f"{w} text that has nothing of it" for w in ("first", "second", "third")]
+    docs = [(1, clean[0]), (1, f"x {item} y"), (1, clean[1]), (1, clean[1]), (None, f"z {item}"), (None, clean[2]), (None, None), (None, ""), (2, item)]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = spark.createDataFrame([(i, t, None, None, 0) for i, t in docs], kind)
+    kept = cp.without_benchmarks(spark, frame, FOLDER).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(((i, t) for i, t in docs if not t or item not in t), key=str)
+
+    words = [" ".join(f"{p}{i}" for i in range(60)) for p in "abcdef"]
+    near = [w + " more" for w in words]  # similar to one text each
+    docs = [(5, words[0]), (5, near[0]), (4, near[0]), (5, words[1]), (None, words[1]), (None, near[1]), (None, words[2]), (None, near[2]),
+            (5, words[3]), (5, words[3]), (5, None), (5, ""), (None, None), (6, words[4]), (7, words[4]), (7, words[5])]
+    frame = spark.createDataFrame([(i, t, None, None, 0) for i, t in docs], kind)
+    kept = sorted(((r["doc_id"], r["text"]) for r in cp.one_of_similar(spark, frame, FOLDER).collect()), key=str)
+    some = [(i, t) for i, t in kept if i is None and t]
+    assert len(some) == 1 and some[0][1] in (words[2], near[2])
+    assert [r for r in kept if r not in some] == sorted([(4, near[0]), (5, words[1]), (5, words[3]), (5, None), (5, ""), (None, None), (6, words[4]), (7, words[5])], key=str)
