@@ -109,6 +109,15 @@ def test_proximity_keeps_to_its_document(spark):
     assert at[1] == at[10] == (0, 10) and at[4] == (3, 13) and at[7] == (0, 2) and at[11] == (0, 15) and at[13] == (0, 15)
 
 
+def test_items_without_an_id_are_looked_up(spark):
+    docs = [(1, "x a b c"), (2, "d e f"), (3, "a b c d e f known"), (4, "c b a"), (5, "a b c, c x b a"), (6, "none")]
+    items = [(None, "a b c"), (None, "d e f"), (None, None), (9, "known")]
+    got = {r["doc_id"]: tuple(r)[1:] for r in small(spark, docs, items).collect()}
+    none, known = dec.items_digest([]), dec.items_digest([9])
+    assert got == {1: (4, 3, 1, none, True, 0), 2: (3, 3, 1, none, True, 0), 3: (7, 7, 2, known, True, 0), 4: (3, 0, 0, none, False, 1),
+                   5: (7, 3, 1, none, True, 0), 6: (1, 0, 0, none, False, 0)}
+
+
 def test_result_types(spark):
     shape = small(spark, [(1, "a")], [(1, "a")]).schema
     assert shape["n_words"].dataType == T.LongType() and shape["contaminated"].dataType == T.BooleanType()

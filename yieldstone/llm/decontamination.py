@@ -312,15 +312,15 @@ def decontaminate(
     ``contaminated``, and ``n_near_items``, items with a proximity match that aren't matched as a phrase: all distinct
     words of a window lie, in any order, in a stretch of at most ``near`` words of the document.
     Null and empty texts have no words and no hits; an item without words has no window; repeated rows each get
-    their result, repeated items count once by their id; items with a null id are left out; an empty table on either side
-    gives no hits or no rows. Other columns aren't read.
+    their result, repeated items count once by their id; all items with a null id count as one, which has no name in
+    ``items_sha256``; an empty table on either side gives no hits or no rows. Other columns aren't read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "positions")
     index = scratch.keep(build_index(docs.select(F.col(ident), F.col("text")), ident), "index")
     kind = dict(benchmark.dtypes)[item]
     found = None
-    for rows in item_blocks(benchmark.where(F.col(item).isNotNull()), item, "text"):
+    for rows in item_blocks(benchmark, item, "text"):
         block = find_matches(index, items_of(rows), kind, window, near)
         found = block if found is None else found.unionByName(block)
     found = scratch.keep(found, "matches")
@@ -329,9 +329,12 @@ def decontaminate(
     fresh = F.greatest(F.lit(0), F.col("high") - F.greatest(F.col("low"), F.coalesce(reached, F.lit(0))))
     phrases = found.where("kind = 'phrase'")
     hits = phrases.withColumn("fresh", fresh).groupBy("row").agg(
-        F.sum("fresh").alias("n_hit"), F.collect_set(F.col("item_id").cast("string")).alias("items")
+        F.sum("fresh").alias("n_hit"),
+        F.collect_set(F.col("item_id").cast("string")).alias("items"),
+        F.max(F.col("item_id").isNull().cast("long")).alias("nameless"),
     )
-    close = found.where("kind = 'near'").select("row", "item_id").distinct().join(phrases.select("row", "item_id"), ["row", "item_id"], "left_anti")
+    exact = phrases.select(F.col("row").alias("r"), F.col("item_id").alias("i"))
+    close = found.where("kind = 'near'").select("row", "item_id").distinct().join(exact, F.expr("row = r AND item_id <=> i"), "left_anti")
     near_items = close.groupBy("row").agg(F.count(F.lit(1)).alias("n_near_items"))
     marks = hits.join(near_items, "row", "full")
     named = F.array_join(F.array_sort(F.coalesce("items", F.array().cast("array<string>"))), ",")
@@ -339,7 +342,7 @@ def decontaminate(
         ident,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.greatest(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        (F.greatest(F.size("items"), F.lit(0)) + F.coalesce("nameless", F.lit(0))).cast("long").alias("n_items"),
         F.sha2(named, 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"),
