@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,23 @@ def in_small_batches(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return wrapped
 
 
+#: Bytes of a column that a task turns into Python objects at once.
+SLICE_BYTES, SLICE_ROWS = 4_000_000, 1000
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches that hold about ``SLICE_BYTES`` of a binary or string column, one row at least."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        low = 0
+        while low < batch.num_rows:
+            before = sizes[low - 1] if low else 0
+            high = max(low + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
+            high = min(high, low + SLICE_ROWS)
+            yield batch.slice(low, high - low)
+            low = high
+
+
 class Scratch:
     """Tables written once under the shared folder, so that a lost executor costs no recomputation.
 

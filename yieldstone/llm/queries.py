@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fingerprints, ngram_join, packing, pii, quality, sharding, toxicity, url_filter
+from . import chat, decontamination, fingerprints, licenses, ngram_join, packing, pii, prefix_trie, quality, resampling, sharding
+from . import toxicity, url_filter
 from .common import Scratch, table, whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +136,57 @@ def op10_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """``score``: the least freedom of all findings, one half without any."""
+    found = licenses.scan_licences(table(spark, folder, "documents"))
+    base = F.filter("findings", lambda f: f["kind"] == "base")
+
+    def labels(of: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.transform(of, lambda f: f["labels"])))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda f: f["word"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda f: f["word"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("findings")).alias("labels"),
+        F.coalesce(F.array_min(F.transform("findings", lambda f: f["freedom"])), F.lit(licenses.SILENT)).alias("score"),
+    )
+
+
+#: Conversations whose ids agree but for the last two digits share a beginning of at most so many turns, less one.
+FAMILY, HEADS = 100, 6
+
+
+def rebuilt(conversations: DataFrame) -> DataFrame:
+    """Each conversation with its first turns replaced by those of the first conversation of its family."""
+    family, at_most = F.col("conv_id") - F.col("conv_id") % FAMILY, HEADS - 1
+    heads = conversations.where(F.col("conv_id") == family).select(F.col("conv_id").alias("family"), F.slice("turns", 1, at_most).alias("head"))
+    taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEADS).cast("int")
+    head = F.coalesce(F.slice("head", F.lit(1), taken), F.slice("turns", F.lit(1), F.lit(0)))
+    own = F.slice("turns", taken + 1, F.size("turns"))
+    return conversations.join(heads, family == F.col("family"), "left").select("conv_id", F.concat(head, own).alias("turns"))
+
+
+@query
+def op12_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    scratch = Scratch(spark, "op12")
+    conversations = scratch.keep(prefix_trie.conversations_of(turns), "conversations")
+    nodes = prefix_trie.prefix_trie(rebuilt(conversations))
+    scratch.drop()
+    return nodes
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 ORACLE["op2_url_filter"] = r"""
 WITH parts AS (
     SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -171,3 +223,88 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length(role) + 5 + body + 8) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+#: crc32 of a list of bytes, for statements that have the table ``crc(t)`` at hand.
+_CRC_TABLE = """crc AS (
+    SELECT list(v ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(i)) s)"""
+
+
+def _crc(data: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {data}), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295)"
+
+
+def _hex_bytes(digits: str) -> str:
+    place = "instr('0123456789ABCDEF', substr({0}, i + {1}, 1)) - 1"
+    return f"list_transform(range(0, length({digits}), 2), lambda i: 16 * ({place.format(digits, 1)}) + {place.format(digits, 2)})"
+
+
+ORACLE["op12_conversation_prefix_trie"] = rf"""
+WITH {_CRC_TABLE}, ordered AS (
+    SELECT conv_id, digest, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS n
+    FROM (SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+            length(coalesce(text, '')) AS chars FROM conversations WHERE conv_id IS NOT NULL) t
+), ids AS (
+    SELECT conv_id, {_crc("list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)")} % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) c, crc
+), rebuilt AS (
+    SELECT i.conv_id, row_number() OVER (PARTITION BY i.conv_id ORDER BY o.conv_id <> i.conv_id - i.conv_id % 100 OR o.n > h, o.n) AS n, digest, chars
+    FROM ids i JOIN ordered o ON (o.conv_id = i.conv_id - i.conv_id % 100 AND o.n <= h) OR (o.conv_id = i.conv_id AND o.n > h)
+), prefixes AS (
+    SELECT conv_id, 0 AS depth, '' AS prefix, NULL AS parent, 0 AS chars FROM ids
+    UNION ALL
+    SELECT conv_id, n, said, CASE WHEN n = 1 THEN '' ELSE left(said, CAST(33 * (n - 1) AS INTEGER)) END, chars
+    FROM (SELECT *, string_agg(digest || '.', '') OVER (PARTITION BY conv_id ORDER BY n) AS said FROM rebuilt) r
+), ends AS (
+    SELECT prefix, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS said
+    FROM (SELECT * FROM prefixes QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) e GROUP BY prefix
+), nodes AS (
+    SELECT prefix, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+        (count(*) - 1) * any_value(chars) AS saved FROM prefixes GROUP BY prefix
+), children AS (
+    SELECT parent, count(*) AS n_children FROM nodes GROUP BY parent
+), below AS (
+    SELECT p.prefix, sum(n.saved) AS saved, count(*) FILTER (WHERE c.parent IS NULL) AS n_leaves
+    FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN children c ON c.parent = n.prefix
+    GROUP BY p.prefix
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, b.n_leaves,
+    CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.said, '')) AS ends_sha256
+FROM nodes n JOIN below b USING (prefix) LEFT JOIN nodes u ON n.parent = u.prefix LEFT JOIN children c ON c.parent = n.prefix
+    LEFT JOIN ends e ON e.prefix = n.prefix
+"""
+
+ORACLE["op13_importance_resampling"] = rf"""
+WITH {_CRC_TABLE}, words AS (
+    SELECT kind, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
+    FROM (SELECT 'raw' AS kind, doc_id, coalesce(text, '') AS text FROM documents
+          UNION ALL SELECT 'target', item_id, coalesce(text, '') FROM benchmark) t
+), features AS (
+    SELECT kind, doc_id, f, count(*) AS n
+    FROM (SELECT kind, doc_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM words) s
+    GROUP BY kind, doc_id, f
+), buckets AS (
+    SELECT f, {_crc(_hex_bytes("digits"))} % 10000 AS bucket FROM (SELECT f, hex(encode(f)) AS digits FROM (SELECT DISTINCT f FROM features) d) h, crc
+), counts AS (
+    SELECT bucket, sum(CASE WHEN kind = 'raw' THEN n ELSE 0 END) AS s, sum(CASE WHEN kind = 'target' THEN n ELSE 0 END) AS t
+    FROM features JOIN buckets USING (f) GROUP BY bucket
+), totals AS (
+    SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM counts, totals
+), sums AS (
+    SELECT doc_id, sum(n) AS n_features, sum(n * gain) AS total
+    FROM features JOIN buckets USING (f) JOIN gains USING (bucket) WHERE kind = 'raw' GROUP BY doc_id
+), scored AS (
+    SELECT w.doc_id, len(w.w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+        CAST(coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS BIGINT) AS weight,
+        CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || w.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS noise
+    FROM words w LEFT JOIN sums USING (doc_id) WHERE kind = 'raw'
+), placed AS (
+    SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20
+)
+SELECT s.doc_id, n_features, weight, weight + noise AS score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM scored s LEFT JOIN placed USING (doc_id)
+"""
