@@ -59,3 +59,30 @@ def test_edge_cases(spark):
     assert quality.train(frame, trusted.limit(0), F.lit(True)) is None
     assert {(r["score"], r["predicted"]) for r in quality.scored(frame, None).collect()} == {(0.5, 1)}
     assert quality.scored(frame.limit(0), model).count() == 0
+
+
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    """One id on most rows: at most the documented number of rows, and other texts of it are drawn as well."""
+    frame = spark.range(3000).select(F.expr("CASE WHEN id < 2500 THEN 7 ELSE id END AS doc_id"), F.expr("concat('text of row ', id % 2000) AS text"))
+    drawn = quality.drawn_rows(frame, 400, "doc_id", "text").collect()
+    assert len(drawn) == 400 == len({(r["doc_id"], r["text"]) for r in drawn}) and any(r["doc_id"] == 7 for r in drawn)
+    same = frame.where("doc_id = 7").withColumn("text", F.lit("same"))
+    assert quality.drawn_rows(same, 400, "doc_id", "text").count() == 1
+    monkeypatch.setattr(quality, "POSITIVE_ROWS", 50)
+    monkeypatch.setattr(quality, "UNLABELLED_ROWS", 80)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda good, web: seen.append((len(good), len(web))))
+    quality.train(frame, frame.select("doc_id"), F.lit(True))
+    assert seen == [(50, 80)]
+
+
+def test_scores_match_a_second_reading(spark):
+    """The score of each document, from the model's numbers alone."""
+    small = "/root/testdata/sf0.01"
+    docs = table(spark, small, "documents").limit(200)
+    model = quality.train(docs, table(spark, small, "labels").where("quality = 1"), F.lit(True))
+    for r in quality.scored(docs, model, keep=["text"]).collect():
+        z = model.bias
+        for x, mean, spread, w in zip(quality.statistics(r["text"]).tolist(), model.mean.tolist(), model.spread.tolist(), model.weights.tolist(), strict=True):
+            z += w * min(5.0, max(-5.0, (x - mean) / spread))
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-3 and r["predicted"] == (r["score"] >= 0.5)

@@ -52,3 +52,43 @@ def test_edge_cases(spark):
     assert toxicity.train(frame, labels.limit(0), TOXICITY_CHAIN) is None
     assert toxicity.classified(frame, None, TOXICITY_CHAIN).where("p_toxic IS NULL").count() == len(docs)
     assert toxicity.classified(frame.limit(0), chain, TOXICITY_CHAIN).count() == 0
+
+
+def test_sample_is_bounded_by_rows(spark, monkeypatch):
+    """One labelled id on most rows."""
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 300)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_chain", lambda marks, labels, *_: seen.append(labels.shape))
+    frame = spark.range(2000).select(F.expr("CASE WHEN id < 1800 THEN 7 ELSE id END AS doc_id"), F.expr("concat('text of row ', id) AS text"))
+    toxicity.train(frame, frame.select("doc_id", F.lit(1).alias("toxic"), F.lit(0).alias("low_quality")), TOXICITY_CHAIN)
+    assert seen == [(300, 2)]
+
+
+def test_marks_are_chosen_without_the_fold_they_judge(spark):
+    """A word that all toxic texts of one fold have and no others: it counts with all labels and never for that fold."""
+    from yieldstone.llm.common import Scratch
+
+    rows = [(f"word{i} {'planted' if i % 3 == 1 and i % 2 else 'plain'}", i % 2, None, i % 3) for i in range(300)]
+    sample = spark.createDataFrame(rows, "text string, toxic int, low_quality int, __fold int")
+    planted = toxicity.mark_hash("w planted")
+    found = toxicity._telling_marks(sample, "text", ("toxic", "low_quality"), Scratch(spark, "test"))
+    assert [planted in marks for marks in found[0]] == [True, True, False, True] and not any(found[1])
+
+
+def test_chain_matches_a_second_reading(spark):
+    """Probabilities from the models' numbers and a plain reading of each text's marks."""
+    small = "/root/testdata/sf0.01"
+    docs = table(spark, small, "documents").limit(150)
+    labels = table(spark, small, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    chain = toxicity.train(table(spark, small, "documents"), labels, TOXICITY_CHAIN)
+    telling, models = chain
+    for r in toxicity.classified(docs, chain, TOXICITY_CHAIN).collect():
+        words = r["text"].split()
+        marks = {m for w in words for m in toxicity.marks_of(w)} | ({"again"} if any(a == b for a, b in zip(words, words[1:], strict=False)) else set())
+        hashes, before = {toxicity.mark_hash(m) for m in marks}, []
+        for c, (known, w) in enumerate(zip(telling, models, strict=True)):
+            z = sum(w[i] for i, m in enumerate(known) if m in hashes) + sum(w[len(known) + k] * x for k, x in enumerate(before)) + w[-1]
+            p = 1 / (1 + np.exp(-z))
+            assert abs(r[f"p_{TOXICITY_CHAIN[c]}"] - p) < 1e-9
+            p = min(1 - 1e-3, max(1e-3, p))
+            before.append(np.log(p / (1 - p)))

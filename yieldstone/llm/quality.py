@@ -18,9 +18,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import byte_slices
 from .shingles import distinct, word_hashes
 
-#: Rows that a model is fitted on, those with the smallest hash of their id.
+#: Rows that a model is fitted on at most, drawn by hash.
 POSITIVE_ROWS = 10_000
 UNLABELLED_ROWS = 20_000
 
@@ -141,12 +142,28 @@ def first_by_hash(rows: DataFrame, ident: str, at_most: int) -> DataFrame:
     return rows.where(F.pmod(drawn, F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).orderBy(drawn, ident).limit(at_most)
 
 
+def drawn_rows(rows: DataFrame, at_most: int, ident: str, text: str) -> DataFrame:
+    """At most so many rows, drawn by a hash of id and text; of rows that agree in both one stays, whatever their number.
+
+    The draw itself moves one number a row; texts only move for the rows drawn.
+    """
+    key = F.xxhash64(F.coalesce(rows[ident].cast("string"), F.lit("")), F.coalesce(rows[text], F.lit("")))
+    different = max(1, rows.agg(F.approx_count_distinct(key, 0.02)).first()[0])
+    share = min(1.0, 1.2 * at_most / different + 0.001)
+    near = F.pmod(F.xxhash64(key, F.lit("draw")), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))
+    keys = rows.where(near).select(key.alias("__key")).distinct()
+    # at most ``at_most`` numbers
+    drawn = F.broadcast(keys.orderBy(F.xxhash64("__key", F.lit("order")), "__key").limit(at_most))
+    found = rows.withColumn("__key", key).join(drawn, "__key")
+    return found.groupBy("__key").agg(*[F.first(c).alias(c) for c in rows.columns]).drop("__key")
+
+
 def _gathered(docs: DataFrame, text: str) -> np.ndarray:
     """The statistics of a bounded sample, on the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [statistics(x) for x in batch[0].to_pylist()]
+        for part in byte_slices(batches, 0):
+            found = [statistics(x) for x in part[0].to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f.tobytes() for f in found], pa.binary())], ["row"])
 
     rows = docs.select(text).mapInArrow(run, "row binary").toArrow()["row"].to_pylist()
@@ -156,13 +173,14 @@ def _gathered(docs: DataFrame, text: str) -> np.ndarray:
 def train(docs: DataFrame, positives: DataFrame, unlabelled: Column, ident: str = "doc_id", text: str = "text") -> Model | None:
     """``positives`` holds the idents of trusted texts, ``unlabelled`` says which documents may be drawn as unlabelled.
 
-    None without a trusted or an unlabelled text. Samples are bounded by ``POSITIVE_ROWS`` and ``UNLABELLED_ROWS``.
+    None without a trusted or an unlabelled text, so also for empty tables. Samples are bounded by ``POSITIVE_ROWS`` and
+    ``UNLABELLED_ROWS`` rows; of rows that are equal in id and text one is drawn at most. Null ids are never trusted.
     """
-    trusted = first_by_hash(positives.select(ident).distinct(), ident, POSITIVE_ROWS)
+    trusted = first_by_hash(positives.select(ident).dropna().distinct(), ident, POSITIVE_ROWS)
     # at most POSITIVE_ROWS ids
-    good = _gathered(docs.select(ident, text).join(F.broadcast(trusted), ident, "left_semi"), text)
-    ids = first_by_hash(docs.where(unlabelled).select(ident), ident, UNLABELLED_ROWS)
-    web = _gathered(docs.select(ident, text).join(F.broadcast(ids.distinct()), ident, "left_semi"), text)
+    good = docs.select(ident, text).join(F.broadcast(trusted), ident, "left_semi")
+    good = _gathered(drawn_rows(good, POSITIVE_ROWS, ident, text), text)
+    web = _gathered(drawn_rows(docs.where(unlabelled).select(ident, text), UNLABELLED_ROWS, ident, text), text)
     return fit(good, web) if len(good) and len(web) else None
 
 
@@ -170,25 +188,24 @@ def scored(docs: DataFrame, model: Model | None, ident: str = "doc_id", text: st
     """ident, the columns of ``keep``, ``score`` (0 to 1, nearer 1 for good texts) and ``predicted`` (1 from 0.5 on).
 
     A score depends on the text alone: equal texts score alike, null and empty texts have the score of a text
-    without characters, texts of any length are read whole. Without a model every score is 0.5. One row a row.
+    without characters, texts of any length are read whole. Without a model every score is 0.5. One row a row, so repeated
+    rows stay and an empty table stays empty; columns that ``keep`` doesn't name aren't read, whatever their names.
     """
     names = [ident, *keep]
     types = ", ".join(f"`{n}` {dict(docs.dtypes)[n]}" for n in names)
     parts = model.parts() if model else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 1000):
-                part = batch.slice(low, 1000)
-                texts = part[part.num_columns - 1].to_pylist()
-                if parts is None:
-                    score = np.full(len(texts), 0.5)
-                else:
-                    mean, spread, weights, bias = parts
-                    score = sigmoid(standardised(np.array([statistics(x) for x in texts]), mean, spread) @ weights + bias)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))],
-                    [*names, "score", "predicted"],
-                )
+        for part in byte_slices(batches, len(names)):
+            texts = part[len(names)].to_pylist()
+            if parts is None:
+                score = np.full(len(texts), 0.5)
+            else:
+                mean, spread, weights, bias = parts
+                score = sigmoid(standardised(np.array([statistics(x) for x in texts]), mean, spread) @ weights + bias)
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:-1], pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))],
+                [*names, "score", "predicted"],
+            )
 
     return docs.select(*names, text).mapInArrow(run, f"{types}, score double, predicted int")

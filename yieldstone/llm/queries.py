@@ -34,11 +34,11 @@ URL_RULES = (
 TOXICITY_CHAIN = ("low_quality", "toxic")
 
 
-def with_toxicity(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+def with_toxicity(spark: SparkSession, docs: DataFrame, folder: str, prefix: str = "p_") -> DataFrame:
     """``docs`` with p_low_quality and p_toxic from a chain fitted on labelled documents of the table itself."""
     labels = table(spark, folder, "labels").withColumn("low_quality", 1 - F.col("quality"))
     chain = toxicity.train(table(spark, folder, "documents"), labels, TOXICITY_CHAIN)
-    return toxicity.classified(docs, chain, TOXICITY_CHAIN)
+    return toxicity.classified(docs, chain, TOXICITY_CHAIN, prefix=prefix)
 
 
 @query
