@@ -11,13 +11,20 @@ from yieldstone.llm import decontamination, ngram_join, pii
 from yieldstone.llm.common import Scratch, table
 from yieldstone.llm.queries import PII_KEY, pack_documents, with_toxicity
 
+#: What probabilities are named by, so that no column of the documents is in their way.
+JUDGED = "__judged_"
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain gives a probability below one half of being toxic, or none at all."""
-    judged = with_toxicity(spark, docs, sf_dir)
-    return judged.where(F.coalesce("p_toxic", F.lit(0.0)) < 0.5).select(*docs.columns)
+    """Documents that the chain gives a probability below one half of being toxic, or none at all.
+
+    Each row is judged by its own text, null and empty texts as texts without marks, texts of any length whole; repeated rows
+    share their fate, an empty table stays empty. All columns come back as they were, whatever their names.
+    """
+    judged = with_toxicity(spark, docs, sf_dir, prefix=JUDGED)
+    return judged.where(F.coalesce(f"{JUDGED}toxic", F.lit(0.0)) < 0.5).select(*docs.columns)
 
 
 def _row_key(docs: DataFrame) -> Column:
@@ -55,12 +62,20 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced."""
+    """All documents, personal data in their texts replaced and ``n_chars`` counted anew.
+
+    A null text stays null, as does its count; repeated rows all stay and equal values get equal pseudonyms in all of them;
+    texts of any length are read whole; an empty table stays empty; other columns come back as they were.
+    """
     return pii.pseudonymise(docs, PII_KEY, result="__pii").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document goes in the training sequences."""
+    """Where each document goes in the training sequences.
+
+    Every row gets a place, null and empty texts as an end mark alone and repeated rows each their own; a text longer than a
+    sequence is cut over several; an empty table gives no rows; columns beyond id, text and source aren't read.
+    """
     return pack_documents(docs)
 
 
