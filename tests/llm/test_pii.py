@@ -1,11 +1,12 @@
 """The permutations, the formats they keep, and what is left alone."""
 
 import datetime as dt
+import re
 
 import pytest
 
 from yieldstone.llm import pii
-from yieldstone.llm.queries import QUERIES
+from yieldstone.llm.queries import PII_KEY, QUERIES
 
 F = pii.Feistel(b"key")
 
@@ -109,3 +110,41 @@ def test_edge_cases(spark):
     assert (by[2]["text"], by[3]["text"], by[2]["pii_counts"]) == ("", "no data", {})
     assert by[4]["pii_counts"] == {"phone": 1} and by[5]["text"] == by[None]["text"] != "97.51.17.173"
     assert pii.pseudonymise(frame.limit(0), b"key").count() == 0
+
+
+def test_phones_are_one_however_written():
+    """For every code in the table and some others: the code stays, and all ways to write a number give one pseudonym."""
+    f = pii.Feistel(b"k" * 16)
+    for code in [*pii.PHONE_SIZES, "420", "971", "7"]:
+        size = pii.PHONE_SIZES.get(code, (9, 9))[1]
+        own = "2079460958123456"[:size]
+        ways = [f"+{code}{own}", f"+{code} {own[:3]} {own[3:]}", f"+{code}-{own[:2]}-{own[2:6]}-{own[6:]}", f"+{code} ({own[:3]}) {own[3:]}"]
+        new = [pii._phone(f, w) for w in ways]
+        plain = {re.sub("[^0-9+]", "", n) for n in new}
+        assert len(plain) == 1 and plain != {ways[0]} and plain.pop().startswith(f"+{code}")
+        assert all(re.sub("[0-9]", "0", a) == re.sub("[0-9]", "0", b) for a, b in zip(ways, new, strict=True))
+
+
+def test_phones_never_meet():
+    """All short numbers of one code have different pseudonyms, and a zero before them stays one."""
+    f = pii.Feistel(b"k" * 16)
+    new = {pii._phone(f, f"+4900{n:03d}") for n in range(1000)} | {pii._phone(f, f"+49{n:05d}") for n in range(10_000, 100_000, 7)}
+    assert len(new) == 1000 + len(range(10_000, 100_000, 7))
+    assert all(pii._phone(f, f"+490{n}").startswith("+490") for n in range(12345, 12400))
+
+
+def test_found_values_against_a_plain_search(spark):
+    """Every kind in running text: what changes are the values, and nothing else; a second, plain reading of the formats."""
+    text = "call +44 20 7946 0958 or +442079460958, mail jane.doe@mail.example, ip 10.20.30.40, ssn 123-45-6789, card 4111 1111 1111 1111, iban GB82 WEST 1234 5698 7654 32, on 2021-03-04."
+    frame = spark.createDataFrame([(1, text), (2, text + " the end"), (3, "nothing 12 here")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in pii.pseudonymise(frame, PII_KEY).collect()}
+    new = rows[1]["text"]
+    shape = lambda x: re.sub("[0-9]+", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", x)))
+    assert shape(new) == shape(text) and rows[2]["text"] == new + " the end" and rows[3]["text"] == "nothing 12 here"
+    phones = re.findall(r"\+44[ 0-9]+[0-9]", new)
+    assert len({p.replace(" ", "") for p in phones}) == 1 and phones[0] != "+44 20 7946 0958"
+    card = [int(c) for c in re.search(r"card ([0-9 ]+),", new).group(1).replace(" ", "")]
+    assert sum(d if i % 2 else sum(divmod(2 * d, 10)) for i, d in enumerate(card)) % 10 == 0
+    iban = re.search(r"iban ([A-Z0-9 ]+),", new).group(1).replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and iban[:2] == "GB"
+    assert sum(rows[1]["pii_counts"].values()) == 8

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 from collections.abc import Callable, Iterator
 from functools import wraps
@@ -66,6 +67,44 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.R
             low = high
 
 
+def give_back() -> None:
+    """Freed memory of this process back to the system: a worker is used again and would keep the most that any task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries have none
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run: Callable) -> Callable:
+    """For task functions of batches: freed memory is given back after each batch and at the end."""
+
+    def one_by_one(batches: Iterator) -> Iterator:
+        for batch in batches:
+            yield batch
+            del batch
+            give_back()
+
+    @wraps(run)
+    def wrapped(batches):
+        yield from run(one_by_one(batches))
+        give_back()
+
+    return wrapped
+
+
+def frugal_group(run: Callable) -> Callable:
+    """The same for task functions of one group."""
+
+    @wraps(run)
+    def wrapped(*group):
+        out = run(*group)
+        del group
+        give_back()
+        return out
+
+    return wrapped
+
+
 class Scratch:
     """Tables written once under the shared folder, so that a lost executor costs no recomputation.
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, in_small_batches
+from .common import Scratch, frugal, frugal_group, in_small_batches
 
 WINDOW = 10
 #: Words of a segment before it is closed; a document is never cut, so a longer one is a segment by itself.
@@ -125,7 +125,7 @@ def build_index(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
         if segment.docs:
             yield segment.rows(base + made, ident_type)
 
-    return docs.select(ident, text).mapInArrow(run, f"{INDEX_COLUMNS}, docs array<{kind}>")
+    return docs.select(ident, text).mapInArrow(frugal(run), f"{INDEX_COLUMNS}, docs array<{kind}>")
 
 
 def items_of(rows: Sequence[tuple[object, str | None]]) -> list[tuple[object, np.ndarray]]:
@@ -277,8 +277,8 @@ def find_matches(index: DataFrame, items: list, item_type: str, window: int = WI
 
     item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
     return (
-        index.select(*names).mapInArrow(wanted, INDEX_COLUMNS)
-        .groupBy("segment").applyInArrow(look_up, f"row long, item_id {item_type}, kind string, low long, high long")
+        index.select(*names).mapInArrow(frugal(wanted), INDEX_COLUMNS)
+        .groupBy("segment").applyInArrow(frugal_group(look_up), f"row long, item_id {item_type}, kind string, low long, high long")
     )
 
 

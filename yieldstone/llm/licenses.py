@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import byte_slices
+from .common import byte_slices, frugal
 
 #: How freely a text under a licence can be used, from 0 (not at all) to 1.
 FREE, FILE_COPYLEFT, COPYLEFT, NETWORK_COPYLEFT, NON_COMMERCIAL, CLOSED = 1.0, 0.6, 0.3, 0.2, 0.1, 0.0
@@ -263,4 +263,4 @@ def scan_licences(docs: DataFrame, ident: str = "doc_id", text: str = "text", ph
 
     rows = docs.select(docs[ident].alias("ident"), docs[text].cast("binary"))
     finding = "array<struct<kind: string, word: long, said: string, labels: array<string>, freedom: double>>"
-    return rows.mapInArrow(run, f"ident {kind}, n_words long, findings {finding}").withColumnRenamed("ident", ident)
+    return rows.mapInArrow(frugal(run), f"ident {kind}, n_words long, findings {finding}").withColumnRenamed("ident", ident)

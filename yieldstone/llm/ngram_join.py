@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, in_small_batches
+from .common import Scratch, frugal, frugal_group, in_small_batches
 from .components import connected
 from .shingles import Shingler, mixed, set_digest
 
@@ -166,7 +166,7 @@ def frequent_tokens(docs: DataFrame, text: str, size: int, bits: int) -> np.ndar
         keep = sums >= FREQUENT
         return pa.table({"token": pa.array(tokens[heads][keep].view(np.int64)), "sets": pa.array(sums[keep])})
 
-    found = docs.select(text).mapInArrow(local, "bucket int, tokens binary, counts binary").groupBy("bucket").applyInArrow(total, "token long, sets long")
+    found = docs.select(text).mapInArrow(frugal(local), "bucket int, tokens binary, counts binary").groupBy("bucket").applyInArrow(frugal_group(total), "token long, sets long")
     most = found.orderBy(F.desc("sets"), "token").limit(MAX_FREQUENT).select("token").toArrow()
     return np.sort(most["token"].to_numpy().view(np.uint64))
 
@@ -229,7 +229,7 @@ def _index_pass(docs: DataFrame, ident: str, text: str, size: int, bits: int, fr
 
     shape = f"ident {kind}, node long, n int, sketch binary, entries array<long>, entry_places array<int>, "
     shape += "bucket int, tokens binary, places binary, owners binary, nodes binary"
-    return docs.select(ident, text).mapInArrow(run, shape)
+    return docs.select(ident, text).mapInArrow(frugal(run), shape)
 
 
 def _shared_rare(postings: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def _shared_rare(postings: DataFrame) -> DataFrame:
         columns = (tokens.view(np.int64), owners[kept, 0], owners[kept, 1].astype(np.int32), places[kept].astype(np.int32))
         return pa.table(dict(zip(("entry", "node", "n", "place"), map(pa.array, columns), strict=True)))
 
-    return postings.groupBy("bucket").applyInArrow(run, "entry long, node long, n int, place int")
+    return postings.groupBy("bucket").applyInArrow(frugal_group(run), "entry long, node long, n int, place int")
 
 
 def _may_meet(x: str, y: str) -> Column:
@@ -306,7 +306,7 @@ def _tested(pairs: DataFrame, sets: DataFrame, column: str, test: Callable[[byte
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    return joined.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(frugal(run), "a long, b long")
 
 
 def _sets_of(docs: DataFrame, ident: str, text: str, size: int, wanted: DataFrame) -> DataFrame:
@@ -334,7 +334,7 @@ def _sets_of(docs: DataFrame, ident: str, text: str, size: int, wanted: DataFram
                     ["node", "n", "tokens"],
                 )
 
-    found = docs.select(F.xxhash64(ident).alias("h"), text).mapInArrow(run, "node long, n int, tokens binary")
+    found = docs.select(F.xxhash64(ident).alias("h"), text).mapInArrow(frugal(run), "node long, n int, tokens binary")
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, frugal_group
 
 #: Rows that are packed together in one task. Bins never span groups, so a group's last bins may stay open.
 ROWS_PER_GROUP = 20_000
@@ -144,7 +144,7 @@ def pack(docs: DataFrame, capacity: int, ident: str, length: Column, source: Col
         )
 
     dealt = rows.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    packed = dealt.groupBy("group").applyInArrow(run, f"ident {ident_type}, part long, bin long, bin_start long, n_tokens long")
+    packed = dealt.groupBy("group").applyInArrow(frugal_group(run), f"ident {ident_type}, part long, bin long, bin_start long, n_tokens long")
     return packed.withColumnRenamed("ident", ident)
 
 

@@ -14,11 +14,13 @@ import re
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import byte_slices, frugal
+
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).toordinal()
 
@@ -163,15 +165,41 @@ def _ipv4(f: Feistel, text: str) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+# Country codes of one and two digits; all others have three.
+SHORT_CODES = ("1", "7")
+TWO_DIGIT_CODES = (
+    "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53",
+    "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94",
+    "95", "98",
+)
+#: Codes of plans that dial no zero before national numbers.
+NO_TRUNK_ZERO = ("1", "39")
+
+
+def country_code(digits: str) -> str:
+    """The code that an international number begins with, however it is spaced."""
+    return digits[:1] if digits[:1] in SHORT_CODES else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
 def _phone(f: Feistel, text: str) -> str | None:
-    """The country code stays, the national digits are permuted."""
-    code = re.match(r"\+[0-9]{1,3}(?=[^0-9])|\+[0-9]", text)
-    head = code.group() if code else ""
-    digits = re.sub("[^0-9]", "", text[len(head) :])
-    if not 7 <= len(digits) + len(head) - bool(head) <= 15:
+    """The country code and a zero dialled before the national number stay, the other digits are permuted.
+
+    What stays follows from the digits alone, so that a number has one pseudonym in whatever way it is written.
+    """
+    digits = re.sub("[^0-9]", "", text)
+    if not 7 <= len(digits) <= 15:
         return None
-    new = str(f.permute(int(digits), 10 ** len(digits), "phone")).zfill(len(digits))
-    return head + _refill(text[len(head) :], new)
+    code = country_code(digits) if text.startswith("+") else ""
+    own = digits[len(code) :]
+    zero = "0" if code and code not in NO_TRUNK_ZERO and own.startswith("0") else ""
+    own = own[len(zero) :]
+    if not own:
+        return None
+    new = own
+    while True:  # a number that doesn't begin with zero goes to one that doesn't
+        new = str(f.permute(int(new), 10 ** len(own), "phone")).zfill(len(own))
+        if not code or code in NO_TRUNK_ZERO or zero or not new.startswith("0") or len(own) == 1:
+            return _refill(text, code + zero + new)
 
 
 def _read_date(text: str) -> tuple[str, int] | None:
@@ -290,15 +318,21 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", result: str =
     """
     shape = T.StructType([T.StructField("text", T.StringType()), T.StructField("counts", T.MapType(T.StringType(), T.IntegerType()))])
 
-    @F.pandas_udf(shape)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    counts = pa.map_(pa.string(), pa.int32())
+    kind = pa.struct([("text", pa.string()), ("counts", counts)])
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         f = Feistel(key)
         for texts in batches:
-            done = [(None, None) if x is None else replace_pii(x, f) for x in texts]
-            yield pd.DataFrame(done, columns=["text", "counts"])
+            done = [pa.array([], kind)]
+            for part in byte_slices([pa.RecordBatch.from_arrays([texts], ["text"])], 0):
+                new = [(None, None) if x is None else replace_pii(x, f) for x in part[0].to_pylist()]
+                found = pa.array([None if n is None else list(n.items()) for _, n in new], counts)
+                done.append(pa.StructArray.from_arrays([pa.array([t for t, _ in new], pa.string()), found], fields=list(kind)))
+            yield pa.concat_arrays(done)
 
     return (
-        docs.withColumn("__found", run(F.col(text)))
+        docs.withColumn("__found", F.arrow_udf(frugal(run), shape)(F.col(text)))
         .withColumns({text: F.col("__found.text"), result: F.col("__found.counts")})
         .drop("__found")
     )

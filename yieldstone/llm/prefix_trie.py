@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, frugal
 from .shingles import mixed
 
 #: Turns that a slice holds, unless fewer than ``SLICE_ROWS`` conversations have more.
@@ -261,7 +261,7 @@ def _round(rows: DataFrame, parts: int, turns: int, order: list[str], whole: boo
         for number, table in enumerate(_cut(batches, turns, whole)):
             yield from _peeled(table, task + number, whole)
 
-    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, _SHAPE)
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(frugal(run), _SHAPE)
 
 
 def _ends_digests(pieces: DataFrame) -> DataFrame:
@@ -288,7 +288,7 @@ def _ends_digests(pieces: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([digest.hexdigest()])], ["key", "ends_sha256"])
 
     ordered = pieces.select("key", "conv_id", "slice", "said").repartition("key").sortWithinPartitions("key", "conv_id", "slice")
-    return ordered.select("key", "said").mapInArrow(run, "key string, ends_sha256 string")
+    return ordered.select("key", "said").mapInArrow(frugal(run), "key string, ends_sha256 string")
 
 
 def prefix_trie(conversations: DataFrame, slice_turns: int = SLICE_TURNS) -> DataFrame:

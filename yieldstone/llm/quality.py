@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices
+from .common import byte_slices, frugal
 from .shingles import distinct, word_hashes
 
 #: Rows that a model is fitted on at most, drawn by hash.
@@ -166,7 +166,7 @@ def _gathered(docs: DataFrame, text: str) -> np.ndarray:
             found = [statistics(x) for x in part[0].to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f.tobytes() for f in found], pa.binary())], ["row"])
 
-    rows = docs.select(text).mapInArrow(run, "row binary").toArrow()["row"].to_pylist()
+    rows = docs.select(text).mapInArrow(frugal(run), "row binary").toArrow()["row"].to_pylist()
     return np.array([np.frombuffer(r, np.float32) for r in rows]).reshape(len(rows), len(statistics(None)))
 
 
@@ -208,4 +208,4 @@ def scored(docs: DataFrame, model: Model | None, ident: str = "doc_id", text: st
                 [*names, "score", "predicted"],
             )
 
-    return docs.select(*names, text).mapInArrow(run, f"{types}, score double, predicted int")
+    return docs.select(*names, text).mapInArrow(frugal(run), f"{types}, score double, predicted int")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, byte_slices
+from .common import Scratch, byte_slices, frugal
 from .sharding import ranked
 
 BUCKETS = 10_000
@@ -84,7 +84,7 @@ def bucket_counts(docs: DataFrame, text: str = "text", buckets: int = BUCKETS) -
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(total[held], pa.int64())], ["bucket", "n"])
 
-    parts = docs.select(docs[text].cast("binary")).mapInArrow(run, "bucket int, n long")
+    parts = docs.select(docs[text].cast("binary")).mapInArrow(frugal(run), "bucket int, n long")
     sums = parts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most a row a bucket
     counts = np.zeros(buckets, np.int64)
     counts[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
@@ -148,7 +148,7 @@ def weighed(docs: DataFrame, gain: Sequence[int], ident: str = "doc_id", text: s
     names = ["ident", "kept", "n_words", "n_features", "weight"]
     shape = f"ident {types[ident]}, kept {docs.select(kept).dtypes[0][1]}, n_words long, n_features long, weight long"
     rows = docs.select(docs[ident].alias("ident"), kept.alias("kept"), docs[text].cast("binary").alias("body"))
-    return rows.mapInArrow(run, shape).withColumnRenamed("ident", ident)
+    return rows.mapInArrow(frugal(run), shape).withColumnRenamed("ident", ident)
 
 
 def noise(ident: Column, seed: int) -> Column:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, byte_slices
+from .common import Scratch, byte_slices, frugal
 from .quality import descend, drawn_rows, first_by_hash, sigmoid
 
 #: Labelled rows that the chain is fitted on at most, drawn by hash.
@@ -25,8 +25,8 @@ MARKS = 2_000
 #: A mark needs so many labelled texts, and so many standard deviations more of the category than expected.
 LEAST_TEXTS, LEAST_SCORE = 4, 4.0
 FOLDS = 3
-#: Distinct words whose marks a task keeps at hand.
-MEMO_WORDS = 30_000
+#: Distinct words whose marks a task keeps at hand: of all marks, and of the few that a model weighs.
+MEMO_WORDS, MEMO_WANTED = 30_000, 120_000
 
 
 def marks_of(word: str) -> list[str]:
@@ -49,7 +49,7 @@ class _Marks(dict):
         self.wanted = wanted
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= MEMO_WORDS:
+        if len(self) >= (MEMO_WORDS if self.wanted is None else MEMO_WANTED):
             self.clear()
         found = tuple(mark_hash(m) for m in marks_of(word))
         self[word] = found = found if self.wanted is None else tuple(h for h in found if h in self.wanted)
@@ -187,7 +187,7 @@ def _telling_marks(sample: DataFrame, text: str, categories: Sequence[str], scra
                 [pa.array(marks[held // FOLDS]), pa.array((held % FOLDS).astype(np.int32)), *(pa.array(n[held]) for n in counts)], ["mark", "fold", *kinds]
             )
 
-    rows = sample.select(text, *categories, "__fold").mapInArrow(counted, ", ".join(["mark long", "fold int", *(f"{x} long" for x in kinds)]))
+    rows = sample.select(text, *categories, "__fold").mapInArrow(frugal(counted), ", ".join(["mark long", "fold int", *(f"{x} long" for x in kinds)]))
 
     def summed(kind: str, left_out: int | None):
         return F.sum(kind) if left_out is None else F.sum(F.when(F.col("fold") != left_out, F.col(kind)).otherwise(0))
@@ -230,7 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str], ident:
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), *part.columns[1:]], ["found", *part.schema.names[1:]])
 
     types = ", ".join(f"`{c}` {dict(sample.dtypes)[c]}" for c in categories)
-    rows = sample.select(text, *categories, "__fold").mapInArrow(present, f"found array<long>, {types}, __fold int").toArrow()
+    rows = sample.select(text, *categories, "__fold").mapInArrow(frugal(present), f"found array<long>, {types}, __fold int").toArrow()
     scratch.drop()
     if not rows.num_rows:
         return None
@@ -264,5 +264,5 @@ def classified(docs: DataFrame, chain, categories: Sequence[str], text: str = "t
             p = np.concatenate(found)
             yield pa.StructArray.from_arrays([pa.array(p[:, c]) for c in range(len(names))], names)
 
-    scored = F.arrow_udf(run, ", ".join(f"`{n}` double" for n in names))
+    scored = F.arrow_udf(frugal(run), ", ".join(f"`{n}` double" for n in names))
     return docs.withColumn("__p", scored(F.col(text))).withColumns({n: F.col(f"__p.`{n}`") for n in names}).drop("__p")
