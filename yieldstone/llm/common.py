@@ -96,8 +96,8 @@ def frugal_group(run: Callable) -> Callable:
     """The same for task functions of one group."""
 
     @wraps(run)
-    def wrapped(*group):
-        out = run(*group)
+    def wrapped(group):
+        out = run(group)
         del group
         give_back()
         return out
