@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import EXACT, guarded_pct, nan_to_null
 from ..schemas import METRICS
+from .asof import as_of
 
 LOOKBACK_DAYS = 365
 SLICE_DAYS = 4 * 366
@@ -78,8 +79,24 @@ def _metrics(df: DataFrame, total: Column, count: Column, last: Column) -> DataF
     ).select(*METRICS.names)
 
 
-def dividend_metrics_daily(price: DataFrame, events: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """TTM amount, yield, count and last ex-date for every price row, by a sweep over time."""
+def with_market_cap(metrics: DataFrame, profiles: DataFrame) -> DataFrame:
+    """``metrics`` with ``market_cap`` of the newest profile of the ticker taken on or before the date, 0 without one.
+
+    ``profiles`` holds any number of profiles a ticker; of one day the newest counts.
+    """
+    taken = profiles.where(F.col("ticker").isNotNull() & F.col("ingest_at").isNotNull()).withColumn("_day", F.col("ingest_at").cast("date"))
+    days = taken.groupBy("ticker", "_day").agg(F.max_by("market_cap", F.struct("ingest_at", "market_cap")).alias("market_cap"))
+    found = as_of(metrics, days, "ticker", "date", "_day", ["market_cap"])
+    return found.withColumn("market_cap", F.coalesce("market_cap", F.lit(0)).cast("bigint")).select(*METRICS.names)
+
+
+def dividend_metrics_daily(
+    price: DataFrame, events: DataFrame, lookback_days: int = LOOKBACK_DAYS, profiles: DataFrame | None = None
+) -> DataFrame:
+    """TTM amount, yield, count and last ex-date for every price row, by a sweep over time.
+
+    ``market_cap`` is 0 unless profiles are given.
+    """
     width = _slice_days(lookback_days)
     days = event_days(events)
     none = F.lit(None)
@@ -135,7 +152,8 @@ def dividend_metrics_daily(price: DataFrame, events: DataFrame, lookback_days: i
         F.sum("events").over(so_far).alias("count"),
         F.max("ex_date").over(so_far).alias("last"),
     )
-    return _metrics(swept.filter(F.col("kind") == 1), F.col("total"), F.col("count"), F.col("last"))
+    metrics = _metrics(swept.filter(F.col("kind") == 1), F.col("total"), F.col("count"), F.col("last"))
+    return metrics if profiles is None else with_market_cap(metrics, profiles)
 
 
 def ttm_range_join(price: DataFrame, events: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:

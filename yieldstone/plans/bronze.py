@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.calendar import incremental_dividends
+from ..operators.marks import after_marks, marks_of, newest_marks
 from ..operators.membership import members_for_dates
 from ..operators.quality import clean_dividends, clean_prices, flag_dividends, flag_prices
 from ..operators.stats import collection_summary, list_summary
-from ..schemas import DIVIDEND, project
+from ..schemas import DIVIDEND, MARKS, project
+from ..session import drop_path, scratch_path
 from ..sources.landing import company_profile, dated_dividends, normalize_price_landing, pit_price_landing
 from ..sources.lake import Lake
 from ..sources.tables import (
     append_dividends,
+    append_marks,
     upsert_profiles,
     write_price_if_absent,
     write_price_overwrite,
@@ -82,19 +85,28 @@ def dividend_job(
     tickers: DataFrame | None = None,
     zone: str | None = "America/New_York",
     keep_flagged: bool = True,
+    per_ticker: bool = False,
 ) -> DataFrame:
     """Store the events after the high-water mark, as daily runs over ``dates`` would.
 
     An event gets the first of the dates on or after its ex-date as collection date, also if it lies long
     before them. The mark is the newest stored ex-date of all tickers; an empty store starts 400 days
     before the first date. Returns per collection date ``(date, rows_checked, rows_flagged)``.
+
+    With ``per_ticker`` each ticker has a mark of its own, the newest ex-date collected for it, so an event that is landed
+    after newer ones of other tickers is still taken. Marks are kept in the lake's table of marks and go on after the events
+    are stored; a run that is lost in between is repeated without storing an event twice.
     """
     stored = lake.read_dividends(spark)
     span = dates.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
     if span["lo"] is None:
         return spark.createDataFrame([], "date date, rows_checked bigint, rows_flagged bigint")
     landed_events = dated_dividends(_of_tickers(landed, tickers), zone).drop("date")
-    events = incremental_dividends(landed_events, stored, span["hi"], FIRST_RUN_DAYS, span["lo"])
+    if per_ticker:
+        marks = newest_marks(lake.read_marks(spark).select("ticker", "mark").unionByName(marks_of(stored)))
+        events = after_marks(landed_events, marks, span["hi"], span["lo"], FIRST_RUN_DAYS)
+    else:
+        events = incremental_dividends(landed_events, stored, span["hi"], FIRST_RUN_DAYS, span["lo"])
     on_day = F.greatest(F.col("ex_date"), F.lit(span["lo"]))
     fresh = events.withColumn("_day", on_day).join(F.broadcast(_collection_dates(dates)), "_day")
     fresh = project(fresh, DIVIDEND)
@@ -102,7 +114,14 @@ def dividend_job(
     counts = flag_dividends(fresh).groupBy("date").agg(
         F.count(F.lit(1)).alias("rows_checked"), F.count_if("bad_amount").alias("rows_flagged")
     ).toArrow()
-    append_dividends(spark, fresh if keep_flagged else clean_dividends(fresh), lake.dividends, dedupe=False)
+    new_marks = None
+    if per_ticker:
+        new_marks = scratch_path(spark, "marks")
+        marks_of(fresh).withColumn("date", F.lit(span["hi"])).write.parquet(new_marks)
+    append_dividends(spark, fresh if keep_flagged else clean_dividends(fresh), lake.dividends, dedupe=per_ticker)
+    if new_marks:
+        append_marks(spark.read.schema(MARKS).parquet(new_marks), lake.marks)
+        drop_path(spark, new_marks)
     return spark.createDataFrame(counts, "date date, rows_checked bigint, rows_flagged bigint")
 
 

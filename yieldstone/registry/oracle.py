@@ -758,3 +758,94 @@ WHERE date BETWEEN {YEAR_START} AND {YEAR_END}""",
         LANDED_METRICS,
     ),
 }
+
+SPELLS = """
+told AS (SELECT ticker, effective_date, bool_and(action = 'add') AS is_in FROM changes GROUP BY ticker, effective_date),
+states AS (SELECT *, lag(is_in, 1, FALSE) OVER (PARTITION BY ticker ORDER BY effective_date NULLS FIRST) AS before
+           FROM (SELECT * FROM told UNION ALL SELECT ticker, NULL, TRUE FROM base) t),
+turns AS (SELECT * FROM states WHERE is_in <> before),
+spells AS (SELECT ticker, in_dt, out_dt FROM (
+             SELECT ticker, effective_date AS in_dt, is_in, lead(effective_date) OVER (PARTITION BY ticker ORDER BY effective_date NULLS FIRST) AS out_dt
+             FROM turns) t WHERE is_in),
+spell_days AS (SELECT w.date, s.ticker, coalesce(s.in_dt, w.date) AS in_dt, s.out_dt, TRUE AS is_member
+               FROM weekdays w JOIN spells s ON (s.in_dt IS NULL OR s.in_dt <= w.date) AND (s.out_dt IS NULL OR s.out_dt > w.date))"""
+
+LATE_DATES = "DATE '2000-06-15' AND DATE '2000-07-14'"
+S = [TRADES, CHANGES, BASE, WEEKDAYS, SPELLS]
+
+FAULTY = """
+faulty_price AS (SELECT * REPLACE (CASE WHEN volume % 41 = 0 THEN 'infinity'::DOUBLE WHEN volume % 43 = 0 THEN -1e25 ELSE close END AS close) FROM price),
+faulty_dividend AS (SELECT ex_date, ticker, day(ex_date) IN (3, 4) AS bad, amount_d FROM dividend),
+usable AS (SELECT * FROM faulty_price WHERE abs(close) < 1e15),
+metrics AS (
+  SELECT date, ticker, last_price, CAST(0 AS BIGINT) AS market_cap, ttm AS dividend_ttm,
+         CASE WHEN last_price > 0 THEN ttm / last_price * 100 ELSE 0.0 END AS dividend_yield_ttm, n AS div_count_1y, last_div_date
+  FROM (SELECT p.date, p.ticker, p.close AS last_price, coalesce(CAST(sum(e.amount_d) AS DOUBLE), 0.0) AS ttm,
+               count(e.ex_date) AS n, max(e.ex_date) AS last_div_date
+        FROM usable p LEFT JOIN (SELECT * FROM faulty_dividend WHERE NOT bad) e ON e.ticker = p.ticker AND e.ex_date BETWEEN p.date - 365 AND p.date
+        GROUP BY p.date, p.ticker, p.close) t)"""
+
+ORACLE |= {
+    "late_events_silver": _sql(f"SELECT {METRIC_COLUMNS} FROM metrics", *M),
+    "per_ticker_marks": _sql(
+        "SELECT * FROM run1 UNION ALL SELECT ex_date, ticker, amount, (SELECT min(w.date) FROM weekdays w "
+        "WHERE w.date >= greatest(u.ex_date, DATE '2000-06-15')) AS date "
+        "FROM utc_div u LEFT JOIN (SELECT ticker, max(ex_date) AS mark FROM run1 GROUP BY ticker) m USING (ticker) "
+        "WHERE ex_date >= coalesce(mark + 1, DATE '2000-06-15' - 400) AND ex_date <= DATE '2000-07-14'",
+        TRADES,
+        WEEKDAYS,
+        VENDOR_DIV,
+        f"\nrun1 AS (SELECT ex_date, ticker, amount, {DAY} AS date FROM utc_div WHERE ex_date BETWEEN {DAY} - 400 AND {DAY} "
+        "AND NOT (ends_with(ticker, '7') AND CAST(ex_ts AS DATE) > DATE '1997-12-31'))",
+    ),
+    "membership_spells": _sql("SELECT * FROM spells", *S),
+    "membership_reentry": _sql("SELECT * FROM spell_days", *S),
+    "ticker_islands": _sql(
+        "SELECT ticker, min(date) AS in_date, CASE WHEN max(date) < (SELECT max(date) FROM weekdays) THEN max(date) END AS out_date "
+        "FROM (SELECT d.ticker, d.date, n.place - row_number() OVER (PARTITION BY d.ticker ORDER BY d.date) AS run "
+        "FROM (SELECT DISTINCT ticker, date FROM spell_days) d JOIN (SELECT date, row_number() OVER (ORDER BY date) AS place FROM weekdays) n "
+        "ON n.date = d.date) t GROUP BY ticker, run",
+        *S,
+    ),
+    "pit_price_by_spells": _sql(
+        "SELECT date, ticker, open, high, low, close, volume, adj_close FROM price p WHERE EXISTS (SELECT 1 FROM spells s WHERE s.ticker = p.ticker "
+        "AND (s.in_dt IS NULL OR s.in_dt <= p.date) AND (s.out_dt IS NULL OR s.out_dt > p.date))",
+        TRADES,
+        PRICE,
+        CHANGES,
+        BASE,
+        WEEKDAYS,
+        SPELLS,
+    ),
+    "members_of_dates": _sql(
+        "SELECT DISTINCT p.date, s.ticker FROM (SELECT DISTINCT date FROM price) p JOIN spells s "
+        "ON (s.in_dt IS NULL OR s.in_dt <= p.date) AND (s.out_dt IS NULL OR s.out_dt > p.date)",
+        TRADES,
+        PRICE,
+        CHANGES,
+        BASE,
+        WEEKDAYS,
+        SPELLS,
+    ),
+    "market_cap_as_of": _sql(
+        f"SELECT {METRIC_COLUMNS.replace('market_cap', 'coalesce(c.cap, 0) AS market_cap').replace('date,', 'm.date,', 1).replace('ticker,', 'm.ticker,', 1)} "
+        "FROM metrics m ASOF LEFT JOIN caps c ON m.ticker = c.ticker AND m.date >= c.date",
+        *M,
+        "\ncaps AS (SELECT ticker, date, arg_max_null(cap, row(hour, cap IS NOT NULL, cap)) AS cap FROM (SELECT ticker, date, l_partkey % 24 AS hour, "
+        "CASE WHEN l_partkey % 9 <> 0 THEN CAST(l_partkey * 1000000 + l_suppkey AS BIGINT) END AS cap "
+        "FROM trades WHERE l_linenumber = 1 AND l_quantity < 6) t GROUP BY ticker, date)",
+    ),
+    "silver_with_faulty_rows": _sql(f"SELECT {METRIC_COLUMNS} FROM metrics", TRADES, PRICE, DIVIDEND, FAULTY),
+    "quarantine": _sql(
+        "SELECT 'prices' AS source, date AS day, ticker, 'close out of range' AS reason, CAST(1 AS BIGINT) AS rows FROM faulty_price WHERE abs(close) >= 1e15 "
+        "UNION ALL SELECT 'dividends', ex_date, ticker, 'amount out of range', CAST(count(*) AS BIGINT) FROM events_told GROUP BY ex_date, ticker, date, taken",
+        TRADES,
+        PRICE,
+        DIVIDEND,
+        FAULTY,
+        "\nevents_told AS (SELECT date AS ex_date, ticker, date + CAST(1 + l_orderkey % 3 AS INTEGER) AS date, l_orderkey AS taken "
+        "FROM trades WHERE l_linenumber = 7 AND l_returnflag = 'A' AND day(date) IN (3, 4))",
+    ),
+    "listed_bronze_dates": _sql("SELECT DISTINCT date FROM price", *P),
+    "pending_dates_listed": _sql(f"SELECT DISTINCT date FROM price WHERE date >= {DAY}", *P),
+}

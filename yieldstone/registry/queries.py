@@ -19,7 +19,7 @@ from ..operators import calendar as cal
 from ..operators import changes as chg
 from ..operators import constituents as con
 from ..operators import membership as mem
-from ..operators import quality, stats, ttm
+from ..operators import quality, spells, stats, ttm
 from ..operators import prices as px
 from ..plans import bronze, gold, silver
 from ..plans.backfill import Sources, full_backfill, incremental_backfill
@@ -30,6 +30,7 @@ from ..sources import fixtures as fx
 from ..sources import landing as land
 from ..sources import tables as tab
 from ..sources.lake import Lake
+from ..sources.partitions import listed_dates, pending_listed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -788,3 +789,110 @@ def incremental_backfill_job(s, d):
     lake = _lake(s, "lake")
     incremental_backfill(s, _sources(s, d), lake, 30, point_in_time=False, today=date(1998, 6, 16), gate=0.0)
     return _shown(lake.read_metrics(s))
+
+
+# What comes late, comes back or is faulty
+
+
+def _late(column: str = "ex_date") -> Column:
+    """The batch that an event of the test tables comes with: two late ones besides the first."""
+    return F.when(F.dayofmonth(column) == 10, 1).when(F.dayofmonth(column).isin(15, 20), 2).otherwise(0)
+
+
+@query
+def late_events_silver(s, d):
+    """Silver after two batches of events that arrive when all dates are computed."""
+    lake, events = _lake(s, "lake"), fx.dividends(s, d)
+    tab.write_price_overwrite(_bars(s, d), lake.price)
+    for batch in range(3):
+        tab.append_dividends(s, events.filter(_late() == batch), lake.dividends, dedupe=False)
+        silver.silver_backfill(s, lake)
+    return _shown(lake.read_metrics(s))
+
+
+SLOW_UNTIL = date(1997, 12, 31)
+
+
+@query
+def per_ticker_marks(s, d):
+    """Events of slow tickers land after a run has stored newer ones of the others, and are taken by the next run."""
+    lake, landed = _lake(s, "lake"), fx.vendor_dividends(s, d)
+    slow = F.col("ticker").endswith("7") & (F.col("ex_ts").cast("date") > F.lit(SLOW_UNTIL))
+    late = cal.trading_calendar(s, date(2000, 6, 15), date(2000, 7, 14))
+    bronze.dividend_job(s, landed.filter(~slow), lake, cal.trading_calendar(s, DAY, DAY), per_ticker=True)
+    bronze.dividend_job(s, landed, lake, late, per_ticker=True)
+    bronze.dividend_job(s, landed, lake, late, per_ticker=True)
+    return _shown(lake.read_dividends(s))
+
+
+def _spells(s: SparkSession, d: str) -> DataFrame:
+    return spells.membership_spells(fx.changes(s, d), fx.base_list(s, d))
+
+
+@query
+def membership_spells(s, d):
+    lake = _lake(s, "lake")
+    tab.overwrite_spells(_spells(s, d), lake.spells)
+    return lake.read_spells(s)
+
+
+@query
+def membership_reentry(s, d):
+    return spells.spells_daily(_spells(s, d), *_span(s, d))
+
+
+@query
+def ticker_islands(s, d):
+    lo, hi = _span(s, d)
+    return spells.ticker_islands(spells.spells_daily(_spells(s, d), lo, hi), lo, hi)
+
+
+@query
+def pit_price_by_spells(s, d):
+    return _shown(spells.in_spell(_bars(s, d), _spells(s, d)))
+
+
+@query
+def members_of_dates(s, d):
+    return spells.members_of_dates(tab.distinct_dates(_bars(s, d)), _spells(s, d))
+
+
+@query
+def market_cap_as_of(s, d):
+    return _shown(ttm.dividend_metrics_daily(_bars(s, d), fx.dividends(s, d), profiles=fx.profile_history(s, d)))
+
+
+def _faulty_lake(s: SparkSession, d: str) -> Lake:
+    """Bronze with closes and amounts that can't be meant."""
+    lake, v = _lake(s, "lake"), F.col("volume")
+    close = F.when(v % 41 == 0, F.lit(float("inf"))).when(v % 43 == 0, F.lit(-1e25)).otherwise(F.col("close"))
+    amount = F.when(F.dayofmonth("ex_date") == 3, F.lit(1e25)).when(F.dayofmonth("ex_date") == 4, F.lit(float("-inf"))).otherwise(F.col("amount"))
+    tab.write_price_overwrite(_bars(s, d).withColumn("close", close), lake.price)
+    tab.append_dividends(s, fx.dividends(s, d).withColumn("amount", amount), lake.dividends, dedupe=False)
+    silver.silver_backfill(s, lake)
+    return lake
+
+
+@query
+def silver_with_faulty_rows(s, d):
+    return _shown(_faulty_lake(s, d).read_metrics(s))
+
+
+@query
+def quarantine(s, d):
+    return _faulty_lake(s, d).read_quarantine(s).drop("record")
+
+
+@query
+def listed_bronze_dates(s, d):
+    lake = _lake(s, "lake")
+    tab.write_price_overwrite(_bars(s, d), lake.price)
+    return listed_dates(s, lake.price)
+
+
+@query
+def pending_dates_listed(s, d):
+    lake, bars = _lake(s, "lake"), _bars(s, d)
+    tab.write_price_overwrite(bars, lake.price)
+    tab.upsert_silver(ttm.dividend_metrics_daily(bars.filter(_before()), fx.dividends(s, d)), lake.metrics)
+    return pending_listed(s, lake.price, lake.metrics)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     BooleanType,
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -83,6 +84,37 @@ PROFILE = _struct(
     ingest_at=TimestampType(),
 )
 
+# Event days that stored metrics were computed from.
+APPLIED = _struct(
+    ticker=StringType(),
+    ex_date=DateType(),
+    amount=DecimalType(38, 18),
+    events=LongType(),
+    month=DateType(),
+)
+
+MARKS = _struct(
+    ticker=StringType(),
+    mark=DateType(),
+    date=DateType(),
+)
+
+# A member from ``in_dt`` on, until the day before ``out_dt``.
+SPELLS = _struct(
+    ticker=StringType(),
+    in_dt=DateType(),
+    out_dt=DateType(),
+)
+
+QUARANTINE = _struct(
+    source=StringType(),
+    day=DateType(),
+    ticker=StringType(),
+    reason=StringType(),
+    record=StringType(),
+    rows=LongType(),
+)
+
 PRICE_REQUIRED = ["date", "ticker", "open", "high", "low", "close", "volume"]
 DIVIDEND_REQUIRED = ["ex_date", "ticker", "amount", "date"]
 

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Ends the name of a table that is being replaced.
+SET_ASIDE = "__set_aside"
+
+
 def build_session(app: str = "yieldstone", master: str | None = None, **conf: str) -> SparkSession:
     """A session with AQE on and UTC time; ``master`` is left to spark-submit when None."""
     builder = (
@@ -16,6 +20,8 @@ def build_session(app: str = "yieldstone", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Thousands of dates are listed by a few tasks, not by one each.
+        .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "64")
         # Executors come and go on a large cluster: move blocks off a node before it leaves.
         .config("spark.decommission.enabled", "true")
         .config("spark.storage.decommission.enabled", "true")
@@ -34,6 +40,32 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def swap_path(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``: renames only, so the table is there whole before and after.
+
+    If the driver is lost between the two renames, the old table lies under the name that ``settle_path`` looks for.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, old = hadoop.Path(path), hadoop.Path(f"{path}{SET_ASIDE}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"{path} can't be set aside")
+    if not fs.rename(hadoop.Path(fresh), target):
+        raise OSError(f"{fresh} can't be moved to {path}")
+    fs.delete(old, True)
+
+
+def settle_path(spark: SparkSession, path: str) -> None:
+    """Bring back a table that a lost swap has set aside."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, old = hadoop.Path(path), hadoop.Path(f"{path}{SET_ASIDE}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target) and fs.exists(old):
+        fs.rename(old, target)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 

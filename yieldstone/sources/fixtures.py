@@ -156,6 +156,17 @@ def profile_records(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(F.col("c_name").alias("ticker"), record.alias("record"))
 
 
+def profile_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles taken now and then, some of one day, some without a market cap."""
+    taken = trades(spark, folder).filter("l_linenumber = 1 AND l_quantity < 6")
+    hour = F.make_dt_interval(hours=(F.col("l_partkey") % 24).cast("int"))
+    return taken.select(
+        "ticker",
+        F.when(F.col("l_partkey") % 9 != 0, F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).alias("market_cap"),
+        (F.col("date").cast("timestamp") + hour).alias("ingest_at"),
+    )
+
+
 def wide_changes(spark: SparkSession, folder: str) -> DataFrame:
     """A landed change table: one date column as text, some of it bad, and cells of free text."""
     code = F.concat(F.lit("T"), (F.col("l_suppkey") % 90).cast("string"))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, PROFILE
+from ..schemas import APPLIED, CHANGES, DIVIDEND, MARKS, MEMBERSHIP, METRICS, PRICE, PROFILE, QUARANTINE, SPELLS
 from .tables import scan_table
 
 
@@ -40,6 +40,34 @@ class Lake:
     def profiles(self) -> str:
         return f"{self.root}/bronze/company_profile"
 
+    @property
+    def applied(self) -> str:
+        return f"{self.root}/silver/applied_event_days"
+
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/silver/quarantine"
+
+    @property
+    def marks(self) -> str:
+        return f"{self.root}/bronze/dividend_marks"
+
+    @property
+    def spells(self) -> str:
+        return f"{self.root}/membership/membership_spells"
+
+    def read_applied(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.applied, APPLIED, missing)
+
+    def read_quarantine(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.quarantine, QUARANTINE, missing)
+
+    def read_marks(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.marks, MARKS, missing)
+
+    def read_spells(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.spells, SPELLS, missing)
+
     def read_price(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
         return scan_table(spark, self.price, PRICE, missing)
 

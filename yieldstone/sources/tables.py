@@ -8,6 +8,7 @@ written, so that reads are plain scans and filters on measures reach them.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ..functions.scalars import day, nan_to_null
-from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE, PROFILE, project
-from ..session import drop_path, scratch_path
+from ..schemas import APPLIED, CHANGES, DIVIDEND, MARKS, MEMBERSHIP, METRICS, PRICE, PROFILE, QUARANTINE, SPELLS, project
+from ..session import drop_path, settle_path, swap_path
+from .partitions import partition_values
 
 CHANGE_KEY = ["effective_date", "action", "ticker"]
 EVENT_KEY = ["ex_date", "ticker", "amount"]
@@ -31,9 +33,15 @@ def scan_table(spark: SparkSession, path: str, schema: StructType, missing: str
     try:
         df = spark.read.schema(schema).parquet(path)
     except AnalysisException as err:
-        if missing == "empty" and err.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        settle_path(spark, path)
+        try:
+            df = spark.read.schema(schema).parquet(path)
+        except AnalysisException as still:
+            if missing == "empty" and still.getCondition() == "PATH_NOT_FOUND":
+                return spark.createDataFrame([], schema)
+            raise
     return df.select(*schema.names)  # partition columns are read last
 
 
@@ -94,6 +102,17 @@ def _write(df: DataFrame, path: str, mode: str, partition: str | None, sort: lis
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
+def _replace(spark: SparkSession, df: DataFrame, path: str, partition: str | None, sort: list[str]) -> None:
+    """Write the whole table beside the stored one and swap them; no rows is a no-op."""
+    fresh = f"{path}__fresh_{uuid.uuid4().hex}"  # on the same file system, where a rename is no copy
+    _write(df, fresh, "overwrite", partition, sort)
+    settle_path(spark, path)
+    if spark.read.schema(df.schema).parquet(fresh).isEmpty():
+        drop_path(spark, fresh)
+        return
+    swap_path(spark, fresh, path)
+
+
 def _append_new(spark: SparkSession, rows: DataFrame, path: str, schema: StructType, key: list[str]) -> None:
     """Append rows whose key is not stored, looking only at stored rows that can hold one of the keys.
 
@@ -111,8 +130,14 @@ def _append_new(spark: SparkSession, rows: DataFrame, path: str, schema: StructT
 
 
 def write_price_if_absent(spark: SparkSession, incoming: DataFrame, path: str) -> None:
-    """Append the dates that are not stored; dates already there are left alone."""
-    _append_new(spark, project(incoming, PRICE), path, PRICE, ["date"])
+    """Append the dates that are not stored; dates already there are left alone. What is stored is told by its folders."""
+    rows, stored = project(incoming, PRICE), partition_values(spark, path, "date")
+    if None in stored:
+        rows = rows.where(F.col("date").isNotNull())
+    listed = [F.lit(d).cast("date") for d in stored if d is not None]
+    if listed:
+        rows = rows.where(F.col("date").isNull() | ~F.col("date").isin(listed))
+    _write(rows, path, "append", "date", ["ticker"])
 
 
 def write_price_overwrite(incoming: DataFrame, path: str) -> None:
@@ -151,11 +176,8 @@ def upsert_profiles(spark: SparkSession, profiles: DataFrame, path: str) -> None
     """Replace the stored rows of the tickers that occur in ``profiles``, keep the others; no rows is a no-op."""
     rows = project(profiles, PROFILE)
     kept = scan_table(spark, path, PROFILE, missing="empty").join(rows.select("ticker"), "ticker", "left_anti")
-    merged = scratch_path(spark, "profiles")  # a table can't be read and replaced by one job
-    _write(project(kept, PROFILE).unionByName(rows), merged, "overwrite", None, [])
     if not rows.isEmpty():
-        _write(spark.read.schema(PROFILE).parquet(merged), path, "overwrite", None, [])
-    drop_path(spark, merged)
+        _replace(spark, project(kept, PROFILE).unionByName(rows), path, None, [])
 
 
 def upsert_silver(metrics: DataFrame, path: str) -> None:
@@ -170,8 +192,39 @@ def merge_membership_changes(spark: SparkSession, incoming: DataFrame, path: str
 
 def overwrite_membership_daily(membership: DataFrame, path: str, whole_table: bool = True) -> None:
     """Replace the whole snapshot, or only the dates that occur in it; no rows is a no-op."""
-    replace = "static" if whole_table else "dynamic"
-    _write(project(membership, MEMBERSHIP), path, "overwrite", "date", ["ticker"], replace)
+    rows = project(membership, MEMBERSHIP)
+    if whole_table:
+        _replace(membership.sparkSession, rows, path, "date", ["ticker"])
+    else:
+        _write(rows, path, "overwrite", "date", ["ticker"])
+
+
+def overwrite_spells(spells: DataFrame, path: str) -> None:
+    """Replace the whole table of spells; no rows is a no-op."""
+    _replace(spells.sparkSession, project(spells, SPELLS), path, None, ["ticker"])
+
+
+def write_applied(changed: DataFrame, stored: DataFrame, path: str) -> None:
+    """Put changed event days in the place of the stored ones, month by month; other months are left alone.
+
+    ``changed`` must be stored elsewhere; a day without events stays as a mark that it was withdrawn.
+    """
+    months = changed.select("month").distinct()
+    kept = stored.join(F.broadcast(months), "month", "left_semi").join(changed.select("ticker", "ex_date"), ["ticker", "ex_date"], "left_anti")
+    _write(project(changed, APPLIED).unionByName(project(kept, APPLIED)), path, "overwrite", "month", ["ticker"])
+
+
+def append_marks(marks: DataFrame, path: str) -> None:
+    """Add marks to the log of marks; the newest of a ticker counts, so adding them twice does no harm."""
+    _write(project(marks, MARKS), path, "append", "date", ["ticker"])
+
+
+def append_quarantine(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """Add faulty rows that aren't there yet."""
+    found = project(rows, QUARANTINE)
+    stored = scan_table(spark, path, QUARANTINE, missing="empty")
+    fresh = without_stored(found, stored, ["source", "day", "ticker", "reason", "record"])
+    _write(fresh, path, "append", "source", ["ticker"])
 
 
 def write_parquet_zstd(df: DataFrame, path: str, partition: str | None = None, sort: list[str] | None = None) -> None:
