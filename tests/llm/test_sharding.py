@@ -61,3 +61,31 @@ def test_ranks_are_gapless_over_many_partitions(spark):
     assert total == 10_000 and [r["rank"] for r in rows] == list(range(10_000))
     assert [(r["k"], r["id"]) for r in rows] == sorted((r["k"], r["id"]) for r in rows)
     assert got.select(F.max("rank")).first()[0] == 9999
+
+
+def test_curve_matches_a_plain_reading(spark):
+    """Cuts by sorting all values, cells by counting the cuts reached, places by following the curve; a long common prefix."""
+    prefix = "https://common-crawl.example.org/"  # over thirty bytes that all sources share
+    rows = [(i, None if i % 50 == 7 else f"{prefix}{'hot' if i % 3 == 0 else i * 37 % 41:>4}", i * i % 997) for i in range(600)]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    got = {r["doc_id"]: r["curve"] for r in sh.curve_position(frame, ["source", "size"]).collect()}
+
+    def cuts(values):
+        values = sorted(v for v in values if v is not None)
+        return sorted({values[len(values) * k // 16] for k in range(1, 16)})
+
+    source_cuts = cuts([s for _, s, _ in rows])
+    sources = {i: sum(s is not None and s >= c for c in source_cuts) for i, s, _ in rows}
+    assert len(set(sources.values())) > 9 and len(source_cuts) > 9
+    order = {sh.hilbert_index([x, y], 4): (x, y) for x in range(16) for y in range(16)}
+    assert {i: order[c][0] for i, c in got.items()} == sources
+    size_cells = [[order[got[i]][1] for i, _, n in sorted(rows, key=lambda r: r[2])]]
+    assert size_cells[0] == sorted(size_cells[0]) and len(set(size_cells[0])) == 16
+    steps = [order[k] for k in range(256)]
+    assert all(abs(a - c) + abs(b - d) == 1 for (a, b), (c, d) in zip(steps, steps[1:], strict=False))
+
+
+def test_string_cuts_of_odd_columns(spark):
+    frame = spark.createDataFrame([(None,), ("é",), ("e",), ("",)] + [("hot",)] * 50, "s string")
+    assert sh.string_cuts(frame, "s", 4) == ["hot"]
+    assert sh.string_cuts(frame.where("s IS NULL"), "s", 4) == [] == sh.string_cuts(frame.limit(0), "s", 4)

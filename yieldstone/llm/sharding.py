@@ -1,6 +1,6 @@
 """Shards along a Hilbert curve over several metadata columns.
 
-Each column is quantised into cells of about equal row counts, the cells' place on the curve orders the rows, and the
+Each column is quantised into cells of about equal row counts, strings by whole values, the cells' place on the curve orders the rows, and the
 order is cut into runs of equal length. Rows near each other in all columns share a shard and the row groups in it,
 so minima and maxima of files prune filters on any of the columns.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -46,30 +46,57 @@ def hilbert_index(cell: Sequence[int], bits: int) -> int:
     return sum(((x[i] >> b) & 1) << (b * n + n - 1 - i) for b in range(bits) for i in range(n))
 
 
-def order_key(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column's values: strings by their first six bytes, the rest as doubles."""
-    if dict(df.dtypes)[column] == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(column).cast("double")
+def string_cuts(df: DataFrame, column: str, cells: int) -> list[str]:
+    """At most ``cells - 1`` values of a string column, whole, that cut its rows into cells of about equal counts.
 
-
-def quantised(value: Column, cuts: Sequence[float]) -> Column:
-    """How many cuts the value reaches; a null lies below all."""
+    Different values are counted first, put in order over all tasks, and their counts summed up inside each task and over
+    the tasks before it, so neither a frequent value nor many different ones are any single task's work.
+    """
+    scratch = Scratch(df.sparkSession, "cuts")
+    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    values = scratch.keep(values, "values")
+    different = values.count()
+    parts = min(max(1, different), max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-different // ROWS_PER_TASK)))
+    placed = values.repartitionByRange(parts, "value").withColumn("part", F.spark_partition_id())
+    placed = scratch.keep(placed, "placed")
+    sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    before, starts = 0, []
+    for part in range(parts):
+        starts.append(before)
+        before += sizes.get(part, 0)
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("value"))
+    upto = placed.withColumn("upto", inside + F.get(F.lit(starts), F.col("part")))
+    # a cut is the value at the first row of its cell
+    targets = [before * k // cells for k in range(1, cells)]
+    hit = reduce(lambda any_, t: any_ | ((F.col("upto") - F.col("n") <= t) & (F.lit(t) < F.col("upto"))), targets, F.lit(False))
+    cuts = [r["value"] for r in upto.where(hit).select("value").collect()]  # cells - 1 at most
+    scratch.drop()
+    return sorted(cuts, key=lambda v: v.encode())
+
+
+def quantised(value: Column, cuts: Sequence[float | str]) -> Column:
+    """How many cuts the value reaches; a null lies below all. Strings are compared whole."""
     return reduce(lambda total, cut: total + F.coalesce((value >= cut).cast("int"), F.lit(0)), cuts, F.lit(0))
 
 
 def curve_position(df: DataFrame, dimensions: Sequence[str], bits: int = 4) -> DataFrame:
-    """``df`` with ``curve``, the Hilbert index of the row's cell; one pass finds the cuts of all columns."""
+    """``df`` with ``curve``, the Hilbert index of the row's cell.
+
+    One pass finds the cuts of all columns of numbers; a column of strings takes one of its own, cut by whole values.
+    """
     cells = 1 << bits
     if cells ** len(dimensions) > MAX_CELLS:
         raise ValueError(f"{len(dimensions)} columns of {bits} bits need more than {MAX_CELLS} cells")
     shares = [k / cells for k in range(1, cells)]
-    found = df.select(*[F.percentile_approx(order_key(df, c), shares, 10_000).alias(f"c{i}") for i, c in enumerate(dimensions)]).first()
+    kinds = dict(df.dtypes)
+    numbers = [c for c in dimensions if kinds[c] != "string"]
+    found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(c) for c in numbers]).first() if numbers else {}
     place = F.lit(0)
-    for i, column in enumerate(dimensions):
-        cuts = sorted(set(found[f"c{i}"] or []))
-        place = place * cells + quantised(order_key(df, column), cuts)
+    for column in dimensions:
+        if column in numbers:
+            place = place * cells + quantised(F.col(column).cast("double"), sorted(set(found[column] or [])))
+        else:
+            place = place * cells + quantised(F.col(column), string_cuts(df, column, cells))
     side = [[(k >> (bits * (len(dimensions) - 1 - i))) & (cells - 1) for i in range(len(dimensions))] for k in range(cells ** len(dimensions))]
     curve = F.lit([hilbert_index(cell, bits) for cell in side])
     return df.withColumn("curve", F.get(curve, place))
