@@ -796,7 +796,9 @@ def incremental_backfill_job(s, d):
 
 def _late(column: str = "ex_date") -> Column:
     """The batch that an event of the test tables comes with: two late ones besides the first."""
-    return F.when(F.dayofmonth(column) == 10, 1).when(F.dayofmonth(column).isin(15, 20), 2).otherwise(0)
+    first = (F.year(column) == 1998) & (F.dayofmonth(column) == 10)
+    second = (F.year(column) == 1994) & F.dayofmonth(column).isin(15, 20)
+    return F.when(first, 1).when(second, 2).otherwise(0)
 
 
 @query
