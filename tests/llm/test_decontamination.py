@@ -105,7 +105,7 @@ def test_proximity_keeps_to_its_document(spark):
         frame = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)  # all in one segment
         assert sorted((r["doc_id"], r["n_near_items"]) for r in dec.decontaminate(frame, bench).collect()) == wanted
     spans = dec.find_matches(dec.build_index(frame), dec.items_of(items[:2]), "bigint").where("kind = 'near'").collect()
-    at = {len(docs) - r["row"]: (r["low"], r["high"]) for r in spans}
+    at = {len(docs) - r["row"]["place"]: (r["low"], r["high"]) for r in spans}
     assert at[1] == at[10] == (0, 10) and at[4] == (3, 13) and at[7] == (0, 2) and at[11] == (0, 15) and at[13] == (0, 15)
 
 
@@ -121,3 +121,32 @@ def test_items_without_an_id_are_looked_up(spark):
 def test_result_types(spark):
     shape = small(spark, [(1, "a")], [(1, "a")]).schema
     assert shape["n_words"].dataType == T.LongType() and shape["contaminated"].dataType == T.BooleanType()
+
+
+def test_high_task_numbers_and_many_wordless_rows(spark, monkeypatch):
+    """Rows of task 40,000 and on keep their own numbers, and segments close by rows as well."""
+    from pyspark.sql import functions as F
+
+    from yieldstone.llm import decontamination as dec
+
+    monkeypatch.setattr(dec, "SEGMENT_ROWS", 3)
+    text = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(i, "" if i % 3 else text) for i in range(30)], "doc_id long, text string").coalesce(2)
+    index = dec.build_index(docs).withColumn("segment", F.col("segment") + F.lit(40_000 << 24)).persist()
+    assert index.where("bucket < 0").count() >= 10
+    found = dec.find_matches(index, dec.items_of([(1, text)]), "bigint", 10, None)
+    hit = dec.index_documents(index).join(found, "row").select("doc_id").distinct().collect()
+    assert sorted(r["doc_id"] for r in hit) == list(range(0, 30, 3))
+    assert dec.index_documents(index).select("row").distinct().count() == 30
+    index.unpersist()
+
+
+def test_items_of_any_type_and_repeated_rows(spark):
+    from yieldstone.llm import decontamination as dec
+
+    text = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(1, "x " + text), (2, "x")], "doc_id long, text string")
+    for kind in ("smallint", "decimal(9,0)", "string", "int"):
+        bench = spark.createDataFrame([("7", text)] * 50 + [("8", "y")], "item_id string, text string").selectExpr(f"cast(item_id AS {kind}) AS item_id", "text")
+        rows = {r["doc_id"]: r for r in dec.decontaminate(docs, bench).collect()}
+        assert (rows[1]["n_hit"], rows[1]["n_items"], rows[1]["items_sha256"]) == (11, 1, dec.items_digest(["7"])) and rows[2]["n_hit"] == 0

@@ -19,12 +19,16 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import Scratch, frugal, frugal_group, in_small_batches
 
 WINDOW = 10
 #: Words of a segment before it is closed; a document is never cut, so a longer one is a segment by itself.
 SEGMENT_WORDS = 2_000_000
+#: Rows that a segment holds at most, whether they have words or not.
+SEGMENT_ROWS = 500_000
 BUCKETS = 64
 #: Benchmark words that one pass holds in each task; more are looked up in several passes.
 BLOCK_WORDS = 2_000_000
@@ -119,7 +123,7 @@ def build_index(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> D
                 part = batch.slice(low, 500)
                 for doc, body in zip(part[0].to_pylist(), part[1].to_pylist(), strict=True):
                     segment.add(doc, body)
-                    if segment.words >= SEGMENT_WORDS:
+                    if segment.words >= SEGMENT_WORDS or len(segment.docs) >= SEGMENT_ROWS:
                         yield segment.rows(base + made, ident_type)
                         made, segment = made + 1, _Segment()
         if segment.docs:
@@ -265,35 +269,36 @@ def find_matches(index: DataFrame, items: list, item_type: str, window: int = WI
                 starts = keys.astype(np.int64)
                 continue
             lists |= postings_of(keys, np.frombuffer(row["counts"], "<u4"), _from_planes(row["gaps"]), keys)
-        base = table["segment"][0].as_py() << 24
+        segment = table["segment"][0].as_py()
         found = list(_matches(lists, starts, shared.value[0], window, near))
         doc, item, kind, low, high = zip(*found, strict=True) if found else ((),) * 5
         return pa.table(
             {
-                "row": pa.array([base + d for d in doc], pa.int64()), "item_id": pa.array(item, item_arrow),
+                "segment": pa.array([segment] * len(doc), pa.int64()), "place": pa.array(doc, pa.int32()), "item_id": pa.array(item, item_arrow),
                 "kind": pa.array(kind, pa.string()), "low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64()),
             }
         )
 
-    item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[item_type]
-    return (
+    item_arrow = to_arrow_type(T.StructType.fromDDL(f"i {item_type}")[0].dataType)
+    matches = (
         index.select(*names).mapInArrow(frugal(wanted), INDEX_COLUMNS)
-        .groupBy("segment").applyInArrow(frugal_group(look_up), f"row long, item_id {item_type}, kind string, low long, high long")
+        .groupBy("segment").applyInArrow(frugal_group(look_up), f"segment long, place int, item_id {item_type}, kind string, low long, high long")
     )
+    return matches.select(F.struct("segment", "place").alias("row"), "item_id", "kind", "low", "high")
 
 
 def index_documents(index: DataFrame, ident: str = "doc_id") -> DataFrame:
-    """One row for each document of the index: ``row``, its id and ``n_words``."""
+    """One row for each document of the index: ``row`` (its segment and place there), its id and ``n_words``."""
     sizes = index.where("bucket < 0").select("segment", F.posexplode("docs").alias("place", ident), "counts")
     # Spark reads the little-endian counts as hex, eight digits a document
     digits = F.hex(F.expr("substring(counts, place * 4 + 1, 4)"))
     size = F.conv(F.concat(*[F.substring(digits, i, 2) for i in (7, 5, 3, 1)]), 16, 10).cast("long")
-    return sizes.select((F.shiftleft("segment", 24) + F.col("place")).alias("row"), ident, size.alias("n_words"))
+    return sizes.select(F.struct("segment", "place").alias("row"), ident, size.alias("n_words"))
 
 
 def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int = BLOCK_WORDS) -> Iterator[list[tuple]]:
-    """The benchmark in blocks of bounded size, one block on the driver at a time."""
-    sized = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull())
+    """The benchmark's different rows in blocks of bounded size, one block on the driver at a time."""
+    sized = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull()).distinct()
     letters = sized.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-letters // (2 * block_words)))
     for b in range(blocks):
@@ -311,7 +316,7 @@ def decontaminate(
     ``n_words``, ``n_hit``, ``n_items``, ``items_sha256`` (of the item ids sorted as strings and comma-joined),
     ``contaminated``, and ``n_near_items``, items with a proximity match that aren't matched as a phrase: all distinct
     words of a window lie, in any order, in a stretch of at most ``near`` words of the document.
-    Null and empty texts have no words and no hits; an item without words has no window; repeated rows each get
+    Ids of items are of any type. Null and empty texts have no words and no hits; texts of any length are looked up whole; an item without words has no window; repeated rows each get
     their result, repeated items count once by their id; all items with a null id count as one, which has no name in
     ``items_sha256``; an empty table on either side gives no hits or no rows. Other columns aren't read.
     """
