@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .position import running_total
+from .selection import selected_median
 
 # Yield ranges in percent, lower bound included, upper bound not.
 YIELD_BINS = [
@@ -41,14 +42,14 @@ def exact_median(df: DataFrame, column: str, name: str, **cut) -> DataFrame:
 
 
 def yield_stats(metrics: DataFrame) -> DataFrame:
-    """Mean, median, maximum and minimum yield over payers."""
+    """Mean, median, maximum and minimum yield over payers. The median is found by selection when this is called."""
     payers = dividend_payers(metrics)
     y = F.col("dividend_yield_ttm")
     return payers.agg(
         F.avg(y).alias("mean_yield"),
         F.max(y).alias("max_yield"),
         F.min(y).alias("min_yield"),
-    ).withColumn("median_yield", exact_median(payers, "dividend_yield_ttm", "median").scalar())
+    ).withColumn("median_yield", selected_median(payers, "dividend_yield_ttm", "median").scalar())
 
 
 def yield_log_summary(metrics: DataFrame) -> DataFrame:
