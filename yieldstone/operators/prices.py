@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.scalars import EXACT, change_ratio, day
 
 
+#: Rows of the moving averages.
+SPANS = (7, 30, 120)
+
+
 def _by_day() -> WindowSpec:
     return Window.partitionBy("ticker").orderBy("date")
 
@@ -66,14 +70,28 @@ def enriched(price: DataFrame, since: Column | None = None) -> DataFrame:
     sample deviation of the adjusted one-day return. Only rows from ``since`` on are returned: of the history before
     it each ticker's last 120 rows are shuffled, the frames reach no further, and its peak as one number.
     """
-    spans = (7, 30, 120)
-    peaks = None
-    if since is not None:
-        # one greatest value a ticker, and rows that a task ranks before the shuffle
-        peaks = price.filter(F.col("date") < since).groupBy("ticker").agg(F.max("adj_close").alias("_peak"))
-        newest_first = Window.partitionBy("ticker").orderBy(F.desc("date"))
-        before = price.filter(F.col("date") < since).withColumn("_rn", F.row_number().over(newest_first))
-        price = price.filter(F.col("date") >= since).unionByName(before.filter(F.col("_rn") <= max(spans) + 1).drop("_rn"))
+    if since is None:
+        return continued(price)
+    # one greatest value a ticker, and rows that a task ranks before the shuffle
+    history = price.filter(F.col("date") < since)
+    peaks = history.groupBy("ticker").agg(F.max("adj_close").alias("peak"))
+    rows = price.filter(F.col("date") >= since).unionByName(last_rows(history))
+    return continued(rows, peaks, F.col("date") >= since)
+
+
+def last_rows(price: DataFrame) -> DataFrame:
+    """Of each ticker the rows that the frames of later days can reach."""
+    newest_first = Window.partitionBy("ticker").orderBy(F.desc("date"))
+    placed = price.withColumn("_rn", F.row_number().over(newest_first))
+    return placed.filter(F.col("_rn") <= max(SPANS) + 1).drop("_rn")
+
+
+def continued(price: DataFrame, peaks: DataFrame | None = None, keep: Column | None = None) -> DataFrame:
+    """The columns of ``enriched``, for the rows that ``keep`` tells.
+
+    The others are only there for frames to reach; ``peaks`` holds ``(ticker, peak)`` of all history before.
+    """
+    spans = SPANS
     df = previous_day(price).withColumns(
         {
             "_sum": F.coalesce(F.sum(F.col("close").cast(EXACT)).over(_so_far()), F.lit(0).cast(EXACT)),
@@ -85,8 +103,10 @@ def enriched(price: DataFrame, since: Column | None = None) -> DataFrame:
     lagged = {f"_sum{n}": F.lag("_sum", n).over(_by_day()) for n in spans}
     lagged |= {f"_cnt{n}": F.lag("_cnt", n).over(_by_day()) for n in spans}
     df = df.withColumns(lagged)
+    if keep is not None:
+        df = df.filter(keep)
     if peaks is not None:
-        df = df.filter(F.col("date") >= since).join(peaks, "ticker", "left")
+        df = df.join(peaks.select("ticker", F.col("peak").alias("_peak")), "ticker", "left")
         df = df.withColumn("rolling_peak", F.greatest("rolling_peak", "_peak"))
 
     def average(n: int) -> Column:

@@ -97,17 +97,19 @@ def dividend_yield_rank_daily(metrics: DataFrame, as_of: AsOf = None, **cut) ->
 
 def market_daily_summary(price: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Advancing, declining and flat tickers, mean return and volume per date; 2 years."""
+    narrow = price.select("date", "ticker", "close", "adj_close", "volume")
+    return summary_of(previous_day(narrow, cutoff(price, as_of, months=24)))
+
+
+def summary_of(returns: DataFrame) -> DataFrame:
+    """The summary of rows that have their one-day return."""
     ret = F.col("ret_1d_adj")
-    return (
-        previous_day(price.select("date", "ticker", "close", "adj_close", "volume"), cutoff(price, as_of, months=24))
-        .groupBy("date")
-        .agg(
-            F.count_if(ret > 0).alias("up_cnt"),
-            F.count_if(ret < 0).alias("down_cnt"),
-            F.count_if(ret == 0).alias("flat_cnt"),
-            F.avg(ret).alias("avg_ret_1d"),
-            F.sum("volume").alias("total_volume"),
-        )
+    return returns.groupBy("date").agg(
+        F.count_if(ret > 0).alias("up_cnt"),
+        F.count_if(ret < 0).alias("down_cnt"),
+        F.count_if(ret == 0).alias("flat_cnt"),
+        F.avg(ret).alias("avg_ret_1d"),
+        F.sum("volume").alias("total_volume"),
     )
 
 
@@ -117,7 +119,12 @@ def top_movers_daily(price: DataFrame, as_of: AsOf = None, **cut) -> DataFrame:
     The rank from the bottom is the group size less the rank from the top, so one sort serves both.
     """
     narrow = price.select("date", "ticker", "close", "adj_close")
-    moved = previous_day(narrow, cutoff(price, as_of, days=180)).filter(F.col("ret_1d_adj").isNotNull())
+    return movers_of(previous_day(narrow, cutoff(price, as_of, days=180)), **cut)
+
+
+def movers_of(returns: DataFrame, **cut) -> DataFrame:
+    """Ranks of rows that have their one-day return."""
+    moved = returns.filter(F.col("ret_1d_adj").isNotNull())
     keyed = moved.withColumn("_fall", -F.col("ret_1d_adj"))
     placed = row_number_in(keyed, "date", ["_fall", "ticker"], "rn_desc", "_size", **cut)
     return placed.select(

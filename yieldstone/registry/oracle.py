@@ -849,3 +849,11 @@ ORACLE |= {
     "listed_bronze_dates": _sql("SELECT DISTINCT date FROM price", *P),
     "pending_dates_listed": _sql(f"SELECT DISTINCT date FROM price WHERE date >= {DAY}", *P),
 }
+
+# Forms that are kept up to date, or fed by streams, say the same as those that read everything at once.
+ORACLE |= {
+    "kept_price_enriched": ORACLE["gold_price_enriched"],
+    "kept_market_summary": ORACLE["gold_market_daily_summary"],
+    "streamed_prices": ORACLE["normalize_price_landing"],
+    "streamed_silver": ORACLE["silver_backfill"],
+}

@@ -23,6 +23,7 @@ from ..operators import quality, spells, stats, ttm
 from ..operators import prices as px
 from ..plans import bronze, gold, silver
 from ..plans.backfill import Sources, full_backfill, incremental_backfill
+from ..plans.kept import kept_views, refresh_price_views
 from ..plans.membership import membership_setup
 from ..schemas import CHANGES, DIVIDEND, MEMBERSHIP, METRICS, PRICE
 from ..session import scratch_path
@@ -31,6 +32,7 @@ from ..sources import landing as land
 from ..sources import tables as tab
 from ..sources.lake import Lake
 from ..sources.partitions import listed_dates, pending_listed
+from ..streaming.landing import stream_dividends, stream_prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -898,3 +900,65 @@ def pending_dates_listed(s, d):
     tab.write_price_overwrite(bars, lake.price)
     tab.upsert_silver(ttm.dividend_metrics_daily(bars.filter(_before()), fx.dividends(s, d)), lake.metrics)
     return pending_listed(s, lake.price, lake.metrics)
+
+
+#: Days before ``DAY`` whose rows come partly in the second drop.
+SHARED_DAYS = 45
+
+
+def _drops(s: SparkSession, landed: DataFrame, day: str, label: str):
+    """Landed rows in two drops: the folder, its schema and what makes a drop. Both hold rows of the shared days."""
+    folder = scratch_path(s, label)
+    shared = (F.col(day) >= F.date_sub(F.lit(DAY), SHARED_DAYS)) & (F.pmod(F.crc32(F.col("ticker").cast("binary")), F.lit(2)) == 1)
+    second = (F.col(day) >= F.lit(DAY)) | shared
+
+    def drop(part: int) -> None:
+        landed.filter(second if part else ~second).write.mode("append").parquet(folder)
+
+    return folder, landed.schema, drop
+
+
+@query
+def streamed_prices(s, d):
+    """Two drops that share some dates, taken by two runs of one stream."""
+    lake = _lake(s, "lake")
+    folder, schema, drop = _drops(s, fx.vendor_prices(s, d), "date", "drops")
+    for part in range(2):
+        drop(part)
+        stream_prices(s, folder, schema, lake)
+    return _shown(lake.read_price(s))
+
+
+@query
+def streamed_silver(s, d):
+    """Events of the second drop reach dates of silver that the first one left computed."""
+    lake = _lake(s, "lake")
+    tab.write_price_overwrite(_bars(s, d), lake.price)
+    raw = fx.dividends(s, d).select("ticker", F.col("ex_date").cast("timestamp_ntz").alias("ex_ts"), "amount")
+    folder, schema, drop = _drops(s, raw, "ex_ts", "drops")
+    for part in range(2):
+        drop(part)
+        stream_dividends(s, folder, schema, lake, collected=DAY, zone=None)
+        silver.silver_backfill(s, lake)
+    return _shown(lake.read_metrics(s))
+
+
+def _kept(s: SparkSession, d: str, name: str) -> DataFrame:
+    """A view after its prices came in three parts."""
+    lake, bars = _lake(s, "lake"), _bars(s, d)
+    for low, high in ((None, YEAR_START), (YEAR_START, DAY), (DAY, None)):
+        part = bars if low is None else bars.filter(F.col("date") >= F.lit(low))
+        part = part if high is None else part.filter(F.col("date") < F.lit(high))
+        tab.write_price_if_absent(s, part, lake.price)
+        refresh_price_views(s, lake)
+    return _shown(kept_views(s, lake)[name])
+
+
+@query
+def kept_price_enriched(s, d):
+    return _round(_kept(s, d, "price_timeseries_enriched"), "vol_30d")
+
+
+@query
+def kept_market_summary(s, d):
+    return _round(_kept(s, d, "market_daily_summary"), "avg_ret_1d")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DateType,
     DecimalType,
@@ -99,6 +100,28 @@ MARKS = _struct(
     date=DateType(),
 )
 
+#: Landed prices as they came, by date and by the part of a stream that brought them.
+LANDED_PRICE = StructType([*PRICE.fields, StructField("batch", StringType())])
+
+#: What price views carry on from: of each ticker its peak so far and its last rows, as of ``date``.
+PRICE_STATE = _struct(
+    date=DateType(),
+    ticker=StringType(),
+    peak=DoubleType(),
+    tail=ArrayType(_struct(date=DateType(), close=DoubleType(), adj_close=DoubleType())),
+)
+
+#: Daily prices with all that the price views add.
+PRICE_VIEW = StructType(
+    [
+        *PRICE.fields,
+        *[
+            StructField(name, DoubleType())
+            for name in "prev_close prev_adj_close ret_1d_close ret_1d_adj ma_7 ma_30 ma_120 vol_30d rolling_peak drawdown".split()
+        ],
+    ]
+)
+
 # A member from ``in_dt`` on, until the day before ``out_dt``.
 SPELLS = _struct(
     ticker=StringType(),

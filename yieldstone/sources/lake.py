@@ -6,7 +6,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..schemas import APPLIED, CHANGES, DIVIDEND, MARKS, MEMBERSHIP, METRICS, PRICE, PROFILE, QUARANTINE, SPELLS
+from ..schemas import (
+    APPLIED,
+    CHANGES,
+    DIVIDEND,
+    LANDED_PRICE,
+    MARKS,
+    MEMBERSHIP,
+    METRICS,
+    PRICE,
+    PRICE_STATE,
+    PRICE_VIEW,
+    PROFILE,
+    QUARANTINE,
+    SPELLS,
+)
 from .tables import scan_table
 
 
@@ -56,6 +70,30 @@ class Lake:
     def spells(self) -> str:
         return f"{self.root}/membership/membership_spells"
 
+    @property
+    def landed_price(self) -> str:
+        return f"{self.root}/bronze/landed_price"
+
+    @property
+    def price_view(self) -> str:
+        return f"{self.root}/gold/price_timeseries"
+
+    @property
+    def price_state(self) -> str:
+        return f"{self.root}/gold/price_state"
+
+    def stream_checkpoint(self, stream: str) -> str:
+        return f"{self.root}/streams/{stream}"
+
+    def read_landed_price(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.landed_price, LANDED_PRICE, missing)
+
+    def read_price_view(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.price_view, PRICE_VIEW, missing)
+
+    def read_price_state(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
+        return scan_table(spark, self.price_state, PRICE_STATE, missing)
+
     def read_applied(self, spark: SparkSession, missing: str = "empty") -> DataFrame:
         return scan_table(spark, self.applied, APPLIED, missing)
 

@@ -51,8 +51,17 @@ def normalize_price_landing(raw: DataFrame, on_missing: str = "null") -> DataFra
     with a close need no second look. Those without one are few: their keys pick the closed keys that
     matter, so neither wide rows nor all closed keys are shuffled where the few can be broadcast.
     """
+    return collected_prices(typed_prices(raw, on_missing))
+
+
+def typed_prices(raw: DataFrame, on_missing: str = "null") -> DataFrame:
+    """Landed rows under the names and types of bronze prices, each by itself."""
     df = _stamped(_renamed(require_columns(raw, ["ticker", "date"]), on_missing))
-    df = project(df.withColumn("date", F.col("date").cast("date")), PRICE)
+    return project(df.withColumn("date", F.col("date").cast("date")), PRICE)
+
+
+def collected_prices(df: DataFrame) -> DataFrame:
+    """Rows of each (ticker, date) that has a close in one of its rows."""
     closed = df.filter(F.col("close").isNotNull())
     unclosed = df.filter(F.col("close").isNull())
     key = ["ticker", "date"]
@@ -62,8 +71,7 @@ def normalize_price_landing(raw: DataFrame, on_missing: str = "null") -> DataFra
 
 def pit_price_landing(raw: DataFrame, on_missing: str = "zero") -> DataFrame:
     """Point-in-time variant: any landed row counts as collected, absent measures default to 0."""
-    df = _stamped(_renamed(require_columns(raw, ["ticker", "date"]), on_missing))
-    return project(df.withColumn("date", F.col("date").cast("date")), PRICE)
+    return typed_prices(raw, on_missing)
 
 
 def dated_dividends(raw: DataFrame, zone: str | None = "America/New_York") -> DataFrame:

@@ -17,7 +17,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ..functions.scalars import day, nan_to_null
-from ..schemas import APPLIED, CHANGES, DIVIDEND, MARKS, MEMBERSHIP, METRICS, PRICE, PROFILE, QUARANTINE, SPELLS, project
+from ..schemas import (
+    APPLIED,
+    CHANGES,
+    DIVIDEND,
+    LANDED_PRICE,
+    MARKS,
+    MEMBERSHIP,
+    METRICS,
+    PRICE,
+    PRICE_STATE,
+    PRICE_VIEW,
+    PROFILE,
+    QUARANTINE,
+    SPELLS,
+    project,
+)
 from ..session import drop_path, settle_path, swap_path
 from .partitions import partition_values
 
@@ -86,20 +101,21 @@ def without_stored(incoming: DataFrame, stored: DataFrame, key: list[str]) -> Da
     return left.join(right, on, "left_anti")
 
 
-def _write(df: DataFrame, path: str, mode: str, partition: str | None, sort: list[str], replace: str = "dynamic") -> None:
+def _write(df: DataFrame, path: str, mode: str, partition: str | list[str] | None, sort: list[str], replace: str = "dynamic") -> None:
     """``replace='dynamic'`` overwrites only the partitions that occur in the rows. No rows, no write."""
     df = _without_nan(df)
     if replace == "static" and mode == "overwrite" and df.isEmpty():
         return  # it would empty the table
-    if partition:
-        df = df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *sort)
+    parts = [partition] if isinstance(partition, str) else partition or []
+    if parts:
+        df = df.hint("rebalance", *[F.col(name) for name in parts]).sortWithinPartitions(*parts, *sort)
     writer = (
         df.write.mode(mode)
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", "5")
         .option("partitionOverwriteMode", replace)
     )
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    (writer.partitionBy(*parts) if parts else writer).parquet(path)
 
 
 def _replace(spark: SparkSession, df: DataFrame, path: str, partition: str | None, sort: list[str]) -> None:
@@ -214,6 +230,21 @@ def write_applied(changed: DataFrame, stored: DataFrame, path: str) -> None:
     _write(project(changed, APPLIED).unionByName(project(kept, APPLIED)), path, "overwrite", "month", ["ticker"])
 
 
+def write_landed_prices(rows: DataFrame, path: str) -> None:
+    """Put a batch's landed rows beside those of other batches; written again, a batch takes its own place."""
+    _write(project(rows, LANDED_PRICE), path, "overwrite", ["date", "batch"], ["ticker"])
+
+
+def upsert_price_view(rows: DataFrame, path: str) -> None:
+    """Replace the dates that occur in ``rows``, keep the others."""
+    _write(project(rows, PRICE_VIEW), path, "overwrite", "date", ["ticker"])
+
+
+def write_price_state(state: DataFrame, path: str) -> None:
+    """Add the state as of a date, or replace it; no sort, as a state is read whole."""
+    _write(project(state, PRICE_STATE), path, "overwrite", "date", [])
+
+
 def append_marks(marks: DataFrame, path: str) -> None:
     """Add marks to the log of marks; the newest of a ticker counts, so adding them twice does no harm."""
     _write(project(marks, MARKS), path, "append", "date", ["ticker"])
