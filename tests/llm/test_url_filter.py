@@ -60,3 +60,17 @@ def test_edge_cases(spark):
     assert got == [brute(u, rules) for u in urls]
     assert uf.filter_urls(frame.limit(0), rules).count() == 0
     assert {r["verdict"] for r in uf.filter_urls(frame, [], default="block").collect()} == {"block"}
+
+
+def test_more_keys_than_a_filter_may_hold(spark):
+    """Parts of a list that is too large for one filter, and passes over the table, give what one filter gives."""
+    rnd = random.Random(2)
+    rules = [uf.Rule(rnd.choice(["block", "allow"]), f"h{i}.net", rnd.choice(["/", "/a"])) for i in range(60)] + [uf.Rule("block", "net", "/b")]
+    urls = [f"http://{rnd.choice(['', 'w.'])}h{rnd.randint(0, 90)}.net{rnd.choice(['/', '/a/b', '/b', ''])}" for _ in range(400)]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in uf.filter_urls(frame, rules, max_bits=512).collect()}
+    assert got == {i: brute(u, rules) for i, u in enumerate(urls)}
+    listed = uf._key_frame(spark, [r.key for r in rules])
+    with pytest.raises(uf.TooManyKeys):
+        uf.build_cascade(listed, listed, max_bits=512)
+    assert len(uf.build_cascades(listed, listed, max_bits=512)) > 1

@@ -18,10 +18,14 @@ from pyspark.sql import functions as F
 from .common import Scratch, ascii_lower
 
 BITS_PER_KEY = 16
-#: The filters are constants of the plan, so their size is checked.
+#: The filters are constants of the plan, so their size is checked; keys beyond it are taken in parts, pass after pass.
 MAX_FILTER_BITS = 1 << 26
 
 
+class TooManyKeys(ValueError):
+    """A level would need a larger filter than is allowed."""
+
+
 @dataclass(frozen=True)
 class Rule:
     """``path`` is a plain prefix of the url's path; the rule holds for ``host`` and all its subdomains."""
@@ -43,6 +47,19 @@ class Level:
     salt: int
 
 
+@dataclass(frozen=True)
+class Cascade:
+    """Levels for the keys of one part of ``parts``."""
+
+    levels: list[Level]
+    part: int = 0
+    parts: int = 1
+
+    @property
+    def bits(self) -> int:
+        return sum(level.bits for level in self.levels)
+
+
 def host_of(url: Column) -> Column:
     """From the first ``://`` up to ``/ ? #`` or the end, A to Z lower-cased; empty without one or for a null."""
     return F.coalesce(ascii_lower(F.regexp_extract(_rest(url), r"\A([^/?#]*)", 1)), F.lit(""))
@@ -88,24 +105,31 @@ def passes(key: Column, level: Level) -> Column:
     return found
 
 
-def build_level(keys: DataFrame, salt: int, bits_per_key: int = BITS_PER_KEY) -> Level:
+def in_part(key: Column, part: int, parts: int) -> Column:
+    """Whether a key belongs to the part, by a hash of its own; halves of a part are parts of twice as many."""
+    return F.lit(True) if parts == 1 else F.pmod(F.xxhash64(key, F.lit("part")), F.lit(parts)) == part
+
+
+def build_level(keys: DataFrame, salt: int, bits_per_key: int = BITS_PER_KEY, max_bits: int = MAX_FILTER_BITS) -> Level:
     """One Bloom filter over the column ``key``; bits are set by a grouped OR, 64 to a word."""
     count = keys.count()
     bits = max(64, math.ceil(count * bits_per_key / 64) * 64)
-    if bits > MAX_FILTER_BITS:
-        raise ValueError(f"{count} keys need {bits} bits; use fewer bits a key or join the list instead")
+    if bits > max_bits:
+        raise TooManyKeys(f"{count} keys need {bits} bits")
     level = Level([], bits, max(1, round(bits_per_key * math.log(2))), salt)
     each = keys.select(F.explode(F.array(*[_bit(F.col("key"), level, i) for i in range(level.hashes)])).alias("bit"))
     set_words = each.groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("mask")
     )
     words = [0] * (bits // 64)
-    for row in set_words.collect():  # at most MAX_FILTER_BITS / 64 rows
+    for row in set_words.collect():  # at most max_bits / 64 rows
         words[row["word"]] = row["mask"]
     return Level(words, bits, level.hashes, salt)
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = BITS_PER_KEY) -> list[Level]:
+def build_cascade(
+    listed: DataFrame, universe: DataFrame, bits_per_key: int = BITS_PER_KEY, max_bits: int = MAX_FILTER_BITS
+) -> list[Level]:
     """Levels for the column ``key`` of ``listed``, exact for every ``key`` of ``universe``.
 
     The universe is only filtered, never shuffled: what passes level 1 by error is a small share of it.
@@ -115,7 +139,11 @@ def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = BI
     listed = listed.select("key").dropna().distinct()
     inside, outside = listed, universe.select("key").dropna()
     while True:
-        level = build_level(inside, len(levels), bits_per_key)
+        try:
+            level = build_level(inside, len(levels), bits_per_key, max_bits)
+        except TooManyKeys:
+            scratch.drop()
+            raise
         levels.append(level)
         wrong = outside.where(passes(F.col("key"), level)).distinct()
         if len(levels) == 1:
@@ -127,6 +155,34 @@ def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = BI
         inside, outside = wrong, inside
 
 
+def build_cascades(
+    listed: DataFrame,
+    universe: DataFrame,
+    bits_per_key: int = BITS_PER_KEY,
+    max_bits: int = MAX_FILTER_BITS,
+    part: int = 0,
+    parts: int = 1,
+) -> list[Cascade]:
+    """Cascades that cover all keys; where a level outgrows its bound, of listed keys or of errors, the part is halved."""
+    own = in_part(F.col("key"), part, parts)
+    try:
+        return [Cascade(build_cascade(listed.where(own), universe.where(own), bits_per_key, max_bits), part, parts)]
+    except TooManyKeys:
+        halves = (part, part + parts)
+        return [c for half in halves for c in build_cascades(listed, universe, bits_per_key, max_bits, half, 2 * parts)]
+
+
+def passes_of(cascades: Sequence[tuple[str, Cascade]], max_bits: int) -> list[list[tuple[str, Cascade]]]:
+    """Cascades in turn, as many in one pass as keep its constants within twice the bound of a level."""
+    groups: list[list[tuple[str, Cascade]]] = []
+    for item in cascades:
+        if groups and sum(c.bits for _, c in groups[-1]) + item[1].bits <= 2 * max_bits:
+            groups[-1].append(item)
+        else:
+            groups.append([item])
+    return groups
+
+
 def is_listed(key: Column, levels: Sequence[Level]) -> Column:
     """Odd levels hold listed keys, even ones the errors of the level before; the first miss decides."""
     member: Column = F.lit(len(levels) % 2 == 1)
@@ -135,12 +191,16 @@ def is_listed(key: Column, levels: Sequence[Level]) -> Column:
     return member
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", default: str = "allow") -> DataFrame:
+def filter_urls(
+    pages: DataFrame, rules: Sequence[Rule], url: str = "url", default: str = "allow", max_bits: int = MAX_FILTER_BITS
+) -> DataFrame:
     """``pages`` with host, path, rule and verdict; the longest rule that fits decides, else ``default``.
 
     A null url, or one without ``://``, has an empty host and path and gets the default. Repeated rows each get
     their verdict; a key listed under both actions counts as blocked. Columns of ``pages`` named like the four
-    results are replaced; without rules every url gets the default.
+    results are replaced; without rules every url gets the default. An empty table gives no rows, and a url of any length
+    is read whole. Keys that need more than ``max_bits`` of one filter are judged in parts by passes over the table, each
+    stored in the shared folder.
     """
     spark = pages.sparkSession
     urls = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
@@ -149,20 +209,26 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", defau
     keys = candidate_keys(F.col("host"), F.col("path"), rules)
     universe = urls.select(F.explode(keys).alias("key"))
     blocked = {r.key for r in rules if r.action == "block"}
-    cascades = {}
+    cascades: list[tuple[str, Cascade]] = []
     for action in ("block", "allow"):
         own = sorted({r.key for r in rules if r.action == action} - (blocked if action == "allow" else set()))
         if own:
-            cascades[action] = build_cascade(_key_frame(spark, own), universe)
-
-    def fitting(key: Column) -> Column:
-        action = F.lit(None).cast("string")
-        for name, levels in cascades.items():
-            action = F.when(is_listed(key, levels), F.lit(name)).otherwise(action)
-        return F.struct(F.length(key).alias("size"), key.alias("rule"), action.alias("action"))
-
-    best = F.array_max(F.filter(F.transform(keys, fitting), lambda x: x["action"].isNotNull()))
-    judged = urls.withColumn("__best", best)
+            cascades += [(action, c) for c in build_cascades(_key_frame(spark, own), universe, max_bits=max_bits)]
+
+    def fitting(group: list[tuple[str, Cascade]]) -> Column:
+        def judge(key: Column) -> Column:
+            action = F.lit(None).cast("string")
+            for name, c in group:
+                action = F.when(in_part(key, c.part, c.parts) & is_listed(key, c.levels), F.lit(name)).otherwise(action)
+            return F.struct(F.length(key).alias("size"), key.alias("rule"), action.alias("action"))
+
+        return F.array_max(F.filter(F.transform(keys, judge), lambda x: x["action"].isNotNull()))
+
+    first, *others = passes_of(cascades, max_bits)
+    judged = urls.withColumn("__best", fitting(first))
+    for group in others:
+        kept = Scratch(spark, "judged").keep(judged, "pass")
+        judged = kept.withColumn("__best", F.greatest("__best", fitting(group)))  # the longer rule; nulls don't count
     return judged.withColumns(
         {"rule": F.col("__best.rule"), "verdict": F.coalesce(F.col("__best.action"), F.lit(default))}
     ).drop("__best")
