@@ -100,8 +100,8 @@ MARKS = _struct(
     date=DateType(),
 )
 
-#: Landed prices as they came, by date and by the part of a stream that brought them.
-LANDED_PRICE = StructType([*PRICE.fields, StructField("batch", StringType())])
+#: Landed prices as they came, by month and by the part of a stream that brought them.
+LANDED_PRICE = StructType([*PRICE.fields, StructField("month", DateType()), StructField("batch", StringType())])
 
 #: What price views carry on from: of each ticker its peak so far and its last rows, as of ``date``.
 PRICE_STATE = _struct(

@@ -232,7 +232,7 @@ def write_applied(changed: DataFrame, stored: DataFrame, path: str) -> None:
 
 def write_landed_prices(rows: DataFrame, path: str) -> None:
     """Put a batch's landed rows beside those of other batches; written again, a batch takes its own place."""
-    _write(project(rows, LANDED_PRICE), path, "overwrite", ["date", "batch"], ["ticker"])
+    _write(project(rows, LANDED_PRICE), path, "overwrite", ["month", "batch"], ["date", "ticker"])
 
 
 def upsert_price_view(rows: DataFrame, path: str) -> None:

@@ -48,7 +48,7 @@ def stream_prices(
 
     A batch's rows are kept as landed under the batch's own name, where a repetition replaces them. Then each date it
     touched is written anew from all that has landed for it, so a date whose rows come in several drops ends as if they had
-    come at once, and a close that comes later still collects the rows without one. Only the touched dates are read and
+    come at once, and a close that comes later still collects the rows without one. Only the touched dates are
     replaced. Rows without a date stay landed. A date belongs to streams or to jobs: one that a stream touches holds what
     streams have landed. A stream that begins anew, with its checkpoint gone, needs a new name.
     """
@@ -56,12 +56,15 @@ def stream_prices(
 
     def store(batch: DataFrame, number: int) -> None:
         own, name = batch.sparkSession, f"{stream}-{number}"
-        write_landed_prices(typed_prices(batch).withColumn("batch", F.lit(name)), lake.landed_price)
+        typed = typed_prices(batch).withColumns({"month": F.trunc("date", "month"), "batch": F.lit(name)})
+        write_landed_prices(typed, lake.landed_price)
         landed = lake.read_landed_price(own)
         days = landed.where((F.col("batch") == name) & F.col("date").isNotNull()).select("date").distinct()
-        found = [row["date"] for row in days.collect()]  # partitions, which the calendar bounds
+        found = [row["date"] for row in days.collect()]  # the calendar bounds them
         if found:
-            rows = landed.where(F.col("date").isin(found)).select(*PRICE.names)
+            # months prune folders, days row groups, as files are sorted by day
+            months = sorted({d.replace(day=1) for d in found})
+            rows = landed.where(F.col("month").isin(months) & F.col("date").isin(found)).select(*PRICE.names)
             write_price_overwrite(collected_prices(rows), lake.price)
         touched.update(found)
 
