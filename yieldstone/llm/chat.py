@@ -9,26 +9,33 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import sha256
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal, sized_slices
+
 #: Control strings of common templates. Inside texts and roles a backslash goes after their first character.
 CONTROL = ["<|", "|>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<s>", "</s>"]
 END = "<|end|>\n"
 
-_CONTROL = re.compile(f"(?=({'|'.join(map(re.escape, CONTROL))}))(.)")
+#: The first character of a control string; a class of characters in front lets the search skip all others.
+_FIRST = re.escape("".join(sorted({c[0] for c in CONTROL})))
+_REST = "|".join(f"(?<={re.escape(c[0])}){re.escape(c[1:])}" for c in CONTROL)
+_CONTROL = re.compile(f"([{_FIRST}])(?={_REST})")
 _MARK = re.compile(r"<\|(.*?)\|>\n", re.DOTALL)
 
 
 def escape(text: str) -> str:
     """Looks ahead, so that control strings that overlap are all broken up."""
-    return _CONTROL.sub(r"\2\\", text.replace("\\", "\\\\"))
+    return _CONTROL.sub(r"\1\\", text.replace("\\", "\\\\"))
 
 
 def unescape(text: str) -> str:
@@ -91,54 +98,81 @@ def conversations_of(turns: DataFrame) -> DataFrame:
     return turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(row)).alias("turns"))
 
 
+class Formatted(NamedTuple):
+    """A rendered conversation, its tokens with their spans, and the mask of those that are learned from."""
+
+    text: str
+    ids: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    mask: np.ndarray
+
+
+def formatted(tokenizer, conversations: list[list[dict]], learned_role: str) -> Iterator[Formatted]:
+    rendered = [render((turn["role"] or "", turn["text"]) for turn in turns) for turns in conversations]
+    encoded = tokenizer.encode_batch([text for text, _ in rendered], add_special_tokens=False)
+    for (text, spans), tokens in zip(rendered, encoded, strict=True):
+        offsets = np.fromiter(chain.from_iterable(tokens.offsets), np.int32).reshape(-1, 2)
+        starts, ends = offsets[:, 0], offsets[:, 1]
+        learned = [(low, high) for low, high, role in spans if role == learned_role]
+        yield Formatted(text, np.array(tokens.ids, np.int32), starts, ends, token_mask(starts, ends, learned))
+
+
+def _over_conversations(
+    turns: DataFrame, tokenizer_path: str, learned_role: str, columns: Callable[[list[Formatted]], list[pa.Array]], shape: str
+) -> DataFrame:
+    """conv_id and what ``columns`` makes of the conversations of a slice, in the order of ``shape``."""
+    names = ["conv_id", *[part.split()[0] for part in shape.split(", ")]]
+
+    def sizes(lists: pa.ListArray) -> np.ndarray:
+        lengths = pc.binary_length(lists.values.field("text")).to_numpy(zero_copy_only=False)
+        return np.diff(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])[lists.offsets.to_numpy()])
+
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = None
+        for batch in batches:
+            tokenizer = tokenizer or load_tokenizer(tokenizer_path)
+            for part in sized_slices(batch, sizes(batch["turns"])):
+                done = columns(list(formatted(tokenizer, part["turns"].to_pylist(), learned_role)))
+                yield pa.RecordBatch.from_arrays([part["conv_id"], *done], names)
+
+    return conversations_of(turns).mapInArrow(run, f"conv_id {dict(turns.dtypes)['conv_id']}, {shape}")
+
+
 def format_chats(turns: DataFrame, tokenizer_path: str, learned_role: str = "assistant") -> DataFrame:
     """conv_id, ``formatted``, ``token_ids``, ``token_starts``, ``token_ends`` and ``loss_mask`` of every conversation.
 
     ``turns`` has conv_id, turn, role and text; other columns aren't read. A null text or role is empty, rows with a
     null conv_id are one conversation, repeated rows and equal turns all stay (ordered by role and text), an
     empty text has no token under the mask, no rows give no rows. A conversation is one sample and held whole by
-    one task; conversations are spread over tasks by their id.
+    one task, however long; conversations are spread over tasks by their id.
     """
-    kind = dict(turns.dtypes)["conv_id"]
-    shape = f"conv_id {kind}, formatted string, token_ids array<int>, token_starts array<int>, token_ends array<int>, loss_mask array<tinyint>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(tokenizer_path)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                rendered = [render((t["role"] or "", t["text"]) for t in c) for c in part["turns"].to_pylist()]
-                ids, starts, ends, masks = [], [], [], []
-                for encoded, (_, spans) in zip(tokenizer.encode_batch([r[0] for r in rendered], add_special_tokens=False), rendered, strict=True):
-                    offsets = np.array(encoded.offsets, np.int32).reshape(-1, 2)
-                    ids.append(np.array(encoded.ids, np.int32))
-                    starts.append(offsets[:, 0])
-                    ends.append(offsets[:, 1])
-                    masks.append(token_mask(offsets[:, 0], offsets[:, 1], [s[:2] for s in spans if s[2] == learned_role]))
-                ints, flags = pa.list_(pa.int32()), pa.list_(pa.int8())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["conv_id"], pa.array([r[0] for r in rendered], pa.string()), pa.array(ids, ints),
-                        pa.array(starts, ints), pa.array(ends, ints), pa.array(masks, flags),
-                    ],
-                    ["conv_id", "formatted", "token_ids", "token_starts", "token_ends", "loss_mask"],
-                )
-
-    return conversations_of(turns).mapInArrow(run, shape)
-
-
-def digest_columns(chats: DataFrame) -> DataFrame:
-    """What the formatted output says when it is read back: turns, and the text under the loss mask."""
-    shape = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    def columns(chats: list[Formatted]) -> list[pa.Array]:
+        ints = [pa.array([getattr(c, name) for c in chats], pa.list_(pa.int32())) for name in ("ids", "starts", "ends")]
+        return [pa.array([c.text for c in chats], pa.string()), *ints, pa.array([c.mask for c in chats], pa.list_(pa.int8()))]
+
+    shape = "formatted string, token_ids array<int>, token_starts array<int>, token_ends array<int>, loss_mask array<tinyint>"
+    return _over_conversations(turns, tokenizer_path, learned_role, columns, shape)
+
 
-    @F.pandas_udf(shape)
-    def run(formatted: pd.Series, starts: pd.Series, ends: pd.Series, masks: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text, a, b, mask in zip(formatted, starts, ends, masks, strict=True):
-            turns = read_back(text)
-            loss = "".join(masked_text(text, a, b, mask))
-            said = "".join(f"{role}\n{body}\n" for role, body in turns)
-            rows.append((len(turns), sha256(said.encode()).hexdigest(), len(loss), sha256(loss.encode()).hexdigest(), len(text)))
-        return pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
-    return chats.select("conv_id", run("formatted", "token_starts", "token_ends", "loss_mask").alias("d")).select("conv_id", "d.*")
+def digest_chats(turns: DataFrame, tokenizer_path: str, learned_role: str = "assistant") -> DataFrame:
+    """What the output of ``format_chats`` says when it is read back: turns, and the text under the loss mask.
+
+    Rows are those of ``format_chats``, cases as there. Each conversation is read back by the task that formats it, so tokens and
+    masks stay there.
+    """
+
+    def digest(chat: Formatted) -> tuple[int, str, int, str, int]:
+        said = read_back(chat.text)
+        loss = "".join(masked_text(chat.text, chat.starts, chat.ends, chat.mask))
+        whole = "".join(f"{role}\n{text}\n" for role, text in said)
+        return len(said), sha256(whole.encode()).hexdigest(), len(loss), sha256(loss.encode()).hexdigest(), len(chat.text)
+
+    def columns(chats: list[Formatted]) -> list[pa.Array]:
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        return [pa.array(list(values), kind) for values, kind in zip(zip(*map(digest, chats), strict=True), kinds, strict=True)]
+
+    shape = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    return _over_conversations(turns, tokenizer_path, learned_role, columns, shape)

@@ -54,17 +54,21 @@ def in_small_batches(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 SLICE_BYTES, SLICE_ROWS = 4_000_000, 1000
 
 
+def sized_slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Slices of rows whose sizes add up to about ``SLICE_BYTES``, one row at least."""
+    sums, low = np.cumsum(sizes, dtype=np.int64), 0
+    while low < batch.num_rows:
+        before = sums[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sums, before + SLICE_BYTES, "right")))
+        high = min(high, low + SLICE_ROWS)
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def byte_slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches that hold about ``SLICE_BYTES`` of a binary or string column, one row at least."""
+    """Slices of the batches by the bytes of a binary or string column."""
     for batch in batches:
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-        low = 0
-        while low < batch.num_rows:
-            before = sizes[low - 1] if low else 0
-            high = max(low + 1, int(np.searchsorted(sizes, before + SLICE_BYTES, "right")))
-            high = min(high, low + SLICE_ROWS)
-            yield batch.slice(low, high - low)
-            low = high
+        yield from sized_slices(batch, pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
 
 
 def give_back() -> None:

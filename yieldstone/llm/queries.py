@@ -97,7 +97,7 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
         "SELECT -1L AS conv_id, turn, element_at(array('user', 'assistant'), int(turn) + 1) AS role, :probe AS text FROM VALUES (0L), (1L) AS t(turn)",
         args={"probe": PROBE},
     )
-    return chat.digest_columns(chat.format_chats(turns.unionByName(probe), TOKENIZER))
+    return chat.digest_chats(turns.unionByName(probe), TOKENIZER)
 
 
 def held_out() -> Column:
