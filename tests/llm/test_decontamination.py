@@ -2,10 +2,12 @@
 
 import re
 
+import duckdb
 from pyspark.sql import types as T
 
+from tests.compare import difference, oracle_connection
 from yieldstone.llm import decontamination as dec
-from yieldstone.llm.queries import QUERIES
+from yieldstone.llm.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, item_id string, row long"
@@ -150,3 +152,25 @@ def test_items_of_any_type_and_repeated_rows(spark):
         bench = spark.createDataFrame([("7", text)] * 50 + [("8", "y")], "item_id string, text string").selectExpr(f"cast(item_id AS {kind}) AS item_id", "text")
         rows = {r["doc_id"]: r for r in dec.decontaminate(docs, bench).collect()}
         assert (rows[1]["n_hit"], rows[1]["n_items"], rows[1]["items_sha256"]) == (11, 1, dec.items_digest(["7"])) and rows[2]["n_hit"] == 0
+
+
+def test_query_matches_sql(spark):
+    name = "op8_benchmark_decontamination"
+    assert difference(QUERIES[name](spark, FOLDER), oracle_connection(FOLDER), ORACLE[name]) is None
+
+
+def test_sql_finds_planted_matches(spark, tmp_path):
+    """Phrases, proximity matches and short items beside each other: the operator and its SQL agree."""
+    items = ["one two three four five six seven eight nine ten eleven", "red green blue", "alpha beta gamma delta epsilon zeta eta theta iota kappa"]
+    docs = ["x one two three four five six seven eight nine ten y", "ten nine x eight seven six y five four three two one", "blue z GREEN, red",
+            "red green blue", "kappa iota theta eta zeta epsilon delta gamma beta w w w w alpha", "kappa iota theta eta zeta epsilon delta gamma beta w w w w w w alpha",
+            None, "", "red " * 40, "ten " + "x " * 20 + items[0].upper()]
+    for name, ident, texts in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        spark.createDataFrame(list(enumerate(texts)), f"{ident} long, text string").coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    name = "op8_benchmark_decontamination"
+    got = QUERIES[name](spark, str(tmp_path))
+    assert difference(got, con, ORACLE[name]) is None
+    assert [r["n_near_items"] for r in got.orderBy("doc_id").collect()] == [0, 1, 1, 0, 1, 0, 0, 0, 0, 0]

@@ -7,10 +7,11 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from tests.compare import difference, oracle_connection
 from yieldstone.llm import ngram_join as nj
 from yieldstone.llm.common import Scratch
 from yieldstone.llm.components import connected
-from yieldstone.llm.queries import QUERIES
+from yieldstone.llm.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -127,3 +128,7 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in connected(links, Scratch(spark, "test")).collect()}
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100} | {i: 500 for i in range(500, 560)}
     assert connected(links.limit(0), Scratch(spark, "test")).count() == 0
+
+
+def test_query_matches_sql(spark):
+    assert difference(QUERIES["op6_ngram_jaccard"](spark, FOLDER), oracle_connection(FOLDER), ORACLE["op6_ngram_jaccard"]) is None

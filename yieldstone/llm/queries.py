@@ -224,6 +224,68 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+ORACLE["op6_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0) s
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * shared >= 80 * (a.n + b.n - shared)
+), reach(doc_id, other) AS (
+    SELECT x, y FROM links UNION SELECT y, x FROM links
+    UNION
+    SELECT r.doc_id, l.other FROM reach r JOIN (SELECT x, y AS other FROM links UNION SELECT y, x FROM links) l ON r.other = l.x
+)
+SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(w.doc_id, min(other)) AS component_id
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN reach r ON r.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
+ORACLE["op8_benchmark_decontamination"] = r"""
+WITH words AS (
+    SELECT kind, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+    FROM (SELECT 'doc' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
+          UNION ALL SELECT 'item', item_id, coalesce(text, '') FROM benchmark) t
+), windows AS (
+    SELECT DISTINCT id AS item_id, w[i : i + 9] AS f, least(len(w), 10) AS n
+    FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM words WHERE kind = 'item' AND len(w) > 0) s
+), places AS (
+    SELECT id AS doc_id, i, n, w[i : i + n - 1] AS f
+    FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT DISTINCT n FROM windows) z WHERE kind = 'doc' AND len(w) >= n) s
+), found AS (
+    SELECT DISTINCT doc_id, i, n, item_id FROM places JOIN windows USING (n, f)
+), hit AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) s GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS said
+    FROM (SELECT DISTINCT doc_id, item_id FROM found) s GROUP BY doc_id
+), heard AS (
+    SELECT id AS doc_id, i, w[i] AS word, w[greatest(i - 14, 1) : i + 14] AS round FROM (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE kind = 'doc') s
+), frequency AS (
+    SELECT word, count(*) AS n FROM heard GROUP BY word
+), bags AS (
+    SELECT item_id, list_distinct(f) AS bag, f FROM windows
+), rarest AS (
+    SELECT item_id, bag, arg_min(word, (coalesce(n, 0), word)) AS word
+    FROM (SELECT item_id, bag, f, unnest(bag) AS word FROM bags) b LEFT JOIN frequency USING (word) GROUP BY item_id, bag, f
+), near AS (
+    SELECT DISTINCT doc_id, item_id
+    FROM (SELECT doc_id, item_id, bag, round, unnest(range(1, greatest(len(round) - 13, 2))) AS low FROM rarest JOIN heard USING (word) WHERE list_has_all(round, bag)) s
+    WHERE list_has_all(round[low : low + 14], bag)
+), near_items AS (
+    SELECT doc_id, count(*) AS n_near_items FROM (SELECT * FROM near EXCEPT SELECT DISTINCT doc_id, item_id FROM found) s GROUP BY doc_id
+)
+SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(said, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
+FROM words LEFT JOIN hit ON hit.doc_id = id LEFT JOIN items ON items.doc_id = id LEFT JOIN near_items ON near_items.doc_id = id WHERE kind = 'doc'
+"""
+
 #: crc32 of a list of bytes, for statements that have the table ``crc(t)`` at hand.
 _CRC_TABLE = """crc AS (
     SELECT list(v ORDER BY i) AS t FROM (
