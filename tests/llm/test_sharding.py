@@ -2,11 +2,13 @@
 
 from itertools import product
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tests.compare import difference, oracle_connection
 from yieldstone.llm import sharding as sh
-from yieldstone.llm.queries import QUERIES
+from yieldstone.llm.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -89,3 +91,17 @@ def test_string_cuts_of_odd_columns(spark):
     frame = spark.createDataFrame([(None,), ("é",), ("e",), ("",)] + [("hot",)] * 50, "s string")
     assert sh.string_cuts(frame, "s", 4) == ["hot"]
     assert sh.string_cuts(frame.where("s IS NULL"), "s", 4) == [] == sh.string_cuts(frame.limit(0), "s", 4)
+
+
+def test_query_matches_sql(spark):
+    """Every row's cell, place on the curve, shard and slot."""
+    assert difference(QUERIES["op9_hilbert_shards"](spark, FOLDER), oracle_connection(FOLDER), ORACLE["op9_hilbert_shards"]) is None
+
+
+def test_sql_with_nulls_ties_and_shared_beginnings(spark, tmp_path):
+    rows = [(i, None if i % 7 == 0 else "t" * (i % 5) + "é" * (i % 3), None if i % 5 == 0 else ("de", "en")[i % 2],
+             None if i % 11 == 0 else f"https://one.and.the.same.host/{i % 23:02d}") for i in range(500)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert difference(QUERIES["op9_hilbert_shards"](spark, str(tmp_path)), con, ORACLE["op9_hilbert_shards"]) is None

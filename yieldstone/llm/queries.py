@@ -337,6 +337,50 @@ FROM nodes n JOIN below b USING (prefix) LEFT JOIN nodes u ON n.parent = u.prefi
     LEFT JOIN ends e ON e.prefix = n.prefix
 """
 
+
+def _hilbert(cells: str, bits: int = 4) -> str:
+    """The statement ``cells`` with its columns x0, x1 and x2 turned into the place on the curve, one step a level."""
+    sides = [1 << b for b in range(bits - 1, 0, -1)]
+    for q in sides:
+        for i in range(3):
+            turned = f"xor(x0, CASE WHEN x{i} & {q} <> 0 THEN {q - 1} ELSE xor(x0, x{i}) & {q - 1} END) AS x0"
+            moved = f", xor(x{i}, CASE WHEN x{i} & {q} <> 0 THEN 0 ELSE xor(x0, x{i}) & {q - 1} END) AS x{i}" if i else ""
+            cells = f"SELECT * REPLACE ({turned}{moved}) FROM ({cells}) s"
+    cells = f"SELECT * REPLACE (xor(x0, x1) AS x1, xor(xor(x0, x1), x2) AS x2) FROM ({cells}) s"
+    flip = "0"
+    for q in sides:
+        flip = f"xor({flip}, CASE WHEN x2 & {q} <> 0 THEN {q - 1} ELSE 0 END)"
+    cells = f"SELECT *, {flip} AS flip FROM ({cells}) s"
+    place = " + ".join(f"(((xor(x{i}, flip) >> {b}) & 1) << {3 * b + 2 - i})" for b in range(bits) for i in range(3))
+    return f"SELECT *, {place} AS curve FROM ({cells}) s"
+
+
+#: Cuts are the values that begin the sixteenths of the order; a cell is the number of different cuts that a value reaches.
+ORACLE["op9_hilbert_shards"] = rf"""
+WITH {_CRC_TABLE}, bytes AS (
+    SELECT doc_id, lang, source, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), rows AS (
+    SELECT doc_id, lang, source, length(digits) // 2 + 1 AS size,
+        CASE WHEN digits = '' THEN 0 ELSE {_crc("list_transform(regexp_extract_all(digits, '..'), lambda x: CAST('0x' || x AS BIGINT))")} END AS text_crc32 FROM bytes, crc
+), placed AS (
+    SELECT lang, source, size, row_number() OVER (ORDER BY lang NULLS LAST) - 1 AS by_lang, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS by_source,
+        row_number() OVER (ORDER BY size) AS by_size, count(lang) OVER () AS langs, count(source) OVER () AS sources, count(*) OVER () AS n FROM rows
+), cuts AS (
+    SELECT list(DISTINCT lang) FILTER (WHERE by_lang = langs * k // 16) AS of_lang, list(DISTINCT source) FILTER (WHERE by_source = sources * k // 16) AS of_source,
+        list(DISTINCT size) FILTER (WHERE by_size = (n * k + 15) // 16) AS of_size FROM placed, range(1, 16) r(k)
+), cells AS (
+    SELECT doc_id, size, text_crc32, coalesce(len(list_filter(of_lang, lambda c: c <= lang)), 0) AS x0,
+        coalesce(len(list_filter(of_source, lambda c: c <= source)), 0) AS x1, coalesce(len(list_filter(of_size, lambda c: c <= size)), 0) AS x2 FROM rows, cuts
+), ranked AS (
+    SELECT *, row_number() OVER (ORDER BY curve, size, text_crc32, doc_id) - 1 AS place, count(*) OVER () AS n FROM ({_hilbert("SELECT * FROM cells")}) c
+), sharded AS (
+    SELECT *, place * 8 // n AS shard FROM ranked
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(place - (shard * n + 7) // 8 AS BIGINT) AS slot,
+    CAST(NULL AS INTEGER) AS grown_shard, CAST(curve AS INTEGER) AS curve
+FROM sharded
+"""
+
 ORACLE["op13_importance_resampling"] = rf"""
 WITH {_CRC_TABLE}, words AS (
     SELECT kind, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w
