@@ -485,8 +485,9 @@ FROM supplier"""
         WEEKDAYS,
     ),
     "ticker_intervals": _sql(
-        f"SELECT ticker, min(date) AS in_date, CASE WHEN max(date) < {YEAR_END} THEN max(date) END AS out_date "
-        f"FROM members WHERE date BETWEEN {YEAR_START} AND {YEAR_END} GROUP BY ticker",
+        "SELECT ticker, min(date) AS in_date, "
+        "CASE WHEN max(date) < (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem) THEN max(date) END AS out_date "
+        "FROM members GROUP BY ticker",
         *MEM,
     ),
     "membership_first_dates": _sql(
@@ -648,7 +649,7 @@ FROM supplier"""
         "count(*) FILTER (o <= 0 OR high <= 0 OR l <= 0 OR close <= 0 OR volume < 0 OR high < o OR high < close OR l > o "
         "OR l > close OR high < l) AS rows_flagged FROM (SELECT *, CASE WHEN volume % 11 = 0 THEN -open ELSE open END AS o, "
         "CASE WHEN volume % 7 = 0 THEN high + 1 ELSE low END AS l FROM landed) t SEMI JOIN weekdays USING (date) "
-        f"WHERE date BETWEEN {YEAR_START} AND {YEAR_END} GROUP BY date",
+        "GROUP BY date",
         TRADES,
         WEEKDAYS,
         VENDOR,

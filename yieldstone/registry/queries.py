@@ -423,7 +423,7 @@ def earliest_missing_date(s, d):
 
 @query
 def ticker_intervals(s, d):
-    return mem.ticker_intervals(_members(s, d), YEAR_START, YEAR_END)
+    return mem.ticker_intervals(_members(s, d), *_span(s, d))
 
 
 @query
@@ -697,7 +697,7 @@ def bronze_price_report(s, d):
     landed = fx.vendor_prices(s, d).withColumns(
         {"Open": F.when(v % 11 == 0, -F.col("Open")).otherwise(F.col("Open")), "Low": F.when(v % 7 == 0, F.col("High") + 1).otherwise(F.col("Low"))}
     )
-    return bronze.price_job(s, landed, _lake(s, "lake"), cal.trading_calendar(s, YEAR_START, YEAR_END))
+    return bronze.price_job(s, landed, _lake(s, "lake"), cal.trading_calendar(s, *_span(s, d)))
 
 
 @query
