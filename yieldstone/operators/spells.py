@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import day, is_trading_day
 from ..schemas import MEMBERSHIP, SPELLS, project
-from .calendar import day_range
+from .calendar import day_range, days_between, dealt_by_days
 
 #: Days of a bucket in which spells and days meet.
 BUCKET_DAYS = 512
@@ -37,13 +37,13 @@ def membership_spells(changes: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def spells_daily(spells: DataFrame, start: date | str | Column, end: date | str | Column) -> DataFrame:
-    """One row per spell and weekday of the range, in the layout of the daily membership.
+    """One row per spell and weekday of the range, in the layout of the daily membership, by tasks with a like share of them.
 
     ``in_dt`` is the day the spell began, or the day itself where that isn't known; ``out_dt`` the day it ended.
     """
     first = F.greatest(F.coalesce("in_dt", day(start)), day(start))
     last = F.least(F.coalesce(F.date_sub("out_dt", 1), day(end)), day(end))
-    rows = spells.select("ticker", "in_dt", "out_dt", F.explode(day_range(first, last)).alias("date")).where(is_trading_day(F.col("date")))
+    rows = dealt_by_days(spells, days_between(first, last)).select("ticker", "in_dt", "out_dt", F.explode(day_range(first, last)).alias("date")).where(is_trading_day(F.col("date")))
     return project(rows.withColumns({"in_dt": F.coalesce("in_dt", "date"), "is_member": F.lit(True)}), MEMBERSHIP)
 
 
