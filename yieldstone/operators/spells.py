@@ -93,7 +93,8 @@ def in_spell(rows: DataFrame, spells: DataFrame, at: str = "date", bucket_days:
 def members_of_dates(dates: DataFrame, spells: DataFrame) -> DataFrame:
     """``(date, ticker)`` for many dates at once: each spell takes the dates that lie in it.
 
-    Dates, one a calendar day at most, are put in buckets; each (bucket) list is joined to the spells that reach it.
+    Dates, one a calendar day at most, are put in buckets; each (bucket) list is joined to the spells that reach it. Tasks
+    get whole tickers with a like share of the days, so what they find is made distinct where it is found.
     """
     wanted = dates.select("date").distinct().withColumn("_bucket", F.floor(F.unix_date("date") / BUCKET_DAYS).cast("int"))
     lists = wanted.groupBy("_bucket").agg(F.collect_list("date").alias("_days"), F.min("date").alias("_lo"), F.max("date").alias("_hi"))
@@ -103,7 +104,8 @@ def members_of_dates(dates: DataFrame, spells: DataFrame) -> DataFrame:
     first, last = F.coalesce("in_dt", F.lit(open_days["lo"])), F.coalesce(F.date_sub("out_dt", 1), F.lit(open_days["hi"]))
     first, last = F.greatest(first, F.lit(open_days["lo"])), F.least(last, F.lit(open_days["hi"]))
     buckets = F.when(first <= last, F.sequence(F.floor(F.unix_date(first) / BUCKET_DAYS).cast("int"), F.floor(F.unix_date(last) / BUCKET_DAYS).cast("int")))
-    reached = spells.select("ticker", first.alias("_first"), last.alias("_last"), F.explode(buckets).alias("_bucket"))
+    dealt = dealt_by_days(spells, days_between(first, last))
+    reached = dealt.select("ticker", first.alias("_first"), last.alias("_last"), F.explode(buckets).alias("_bucket"))
     # one row a bucket of the calendar
     met = reached.join(F.broadcast(lists), "_bucket")
     inside = F.filter("_days", lambda d: (d >= F.col("_first")) & (d <= F.col("_last")))
